@@ -1,0 +1,81 @@
+"""Batch jobs: the whole run from raw tables to reports, and the change report."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.functions import as_day, previous_month
+from tidemark.operators import clean, profile
+from tidemark.plans import reports
+from tidemark.session import configure
+from tidemark.sources.readers import read_tables
+from tidemark.sources.writers import write_csv, write_parquet, write_report, write_tables
+
+
+def run_pipeline(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    out: str,
+    start: date | str = "2000-01-01",
+    end: date | str = "2000-06-30",
+) -> dict[str, str]:
+    """Check, clean and store the tables, then write the four reports.
+
+    The reports read the stored tables, so the source is read for the checks
+    and once for the copy. Returns the paths written by name.
+    """
+    configure(spark)
+    paths = {"quality": write_parquet(profile(tables), f"{out}/quality")}
+    paths["tables"] = write_tables(clean(tables), f"{out}/tables")
+    t = read_tables(spark, paths["tables"], tables)
+
+    by_department = reports.annual_salary_by_department(
+        t["dept_emp"], t["departments"], t["salaries"]
+    )
+    # Years times departments: the only report of a size that stays small.
+    paths["annual_salary_by_department"] = write_csv(
+        by_department,
+        f"{out}/reports/annual_salary_by_department",
+        single_file=True,
+        sort_by=("year", "dept_name"),
+    )
+    paths["job_hoppers"] = write_csv(
+        reports.job_hoppers(t["dept_emp"], t["employees"]), f"{out}/reports/job_hoppers"
+    )
+    master = reports.employee_master(
+        t["employees"], t["dept_emp"], t["titles"], t["salaries"], t["departments"]
+    )
+    paths["employee_master"], paths["employee_master_csv"] = write_report(
+        master, f"{out}/reports/employee_master"
+    )
+    paths["employee_changes"] = changes_job(spark, t, f"{out}/reports", start, end)
+    return paths
+
+
+def changes_job(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    out: str,
+    start: date | str | None = None,
+    end: date | str | None = None,
+    month_before: date | str | None = None,
+) -> str:
+    """Write the change report of a period and return its path.
+
+    The period is ``start`` to ``end`` if both are given, else the calendar
+    month before ``month_before``; neither is an error.
+    """
+    if start and end:
+        period = as_day(start), as_day(end)
+    elif month_before:
+        period = previous_month(month_before)
+    else:
+        raise ValueError("give start and end, or month_before")
+    configure(spark)
+    names = ("employees", "dept_emp", "titles", "salaries", "dept_manager", "departments")
+    changes = reports.employee_changes(*[tables[n] for n in names], *period)
+    uri = f"{out}/employee_changes"
+    write_csv(changes, uri)
+    return uri
