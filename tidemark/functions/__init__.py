@@ -7,7 +7,7 @@ from tidemark.functions.dates import (
     previous_month,
     year_slot,
 )
-from tidemark.functions.values import full_name, rounded_ratio
+from tidemark.functions.values import full_name, rounded_ratio, row_count
 
 __all__ = [
     "as_day",
@@ -18,5 +18,6 @@ __all__ = [
     "later_of",
     "previous_month",
     "rounded_ratio",
+    "row_count",
     "year_slot",
 ]

@@ -20,3 +20,8 @@ def rounded_ratio(numerator: Column, denominator: Column, scale: int) -> Column:
     whole = numerator.cast("decimal(28,0)")
     parts = F.nullif(denominator.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
     return F.round(whole / parts, scale).cast("double")
+
+
+def row_count() -> Column:
+    """Number of rows of the group."""
+    return F.count(F.lit(1))

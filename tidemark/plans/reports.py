@@ -24,6 +24,7 @@ from tidemark.functions import (
     is_open,
     later_of,
     rounded_ratio,
+    row_count,
 )
 from tidemark.model import AS_OF, DAYS_PER_TENURE_YEAR, DAYS_PER_YEAR
 from tidemark.operators import (
@@ -36,8 +37,6 @@ from tidemark.operators import (
     value_changes,
 )
 
-ROWS = F.count(F.lit(1))
-
 
 def career_progression(employees: DataFrame, titles: DataFrame, as_of: date = AS_OF) -> DataFrame:
     """Distinct titles and mean years per title of each employee."""
@@ -165,7 +164,7 @@ def manager_impact(
     manager's term ended before; ``clip_to_manager`` ends it with the term.
     """
     # People with the same department and dates are counted once with a weight.
-    stays = dept_emp.groupBy("dept_no", "from_date", "to_date").agg(ROWS.alias("people"))
+    stays = dept_emp.groupBy("dept_no", "from_date", "to_date").agg(row_count().alias("people"))
     terms = dept_manager.select(
         F.col("emp_no").alias("manager_id"),
         "dept_no",
@@ -236,7 +235,7 @@ def gender_ratio(employees: DataFrame, dept_emp: DataFrame, departments: DataFra
         .agg(
             F.count_if(F.col("gender") == "M").alias("male_count"),
             F.count_if(F.col("gender") == "F").alias("female_count"),
-            ROWS.alias("total"),
+            row_count().alias("total"),
         )
     )
 
@@ -284,7 +283,7 @@ def annual_salary_by_department(
         per_employee.groupBy("year", "dept_name")
         .agg(
             F.round(total / DAYS_PER_YEAR, 0).cast("long").alias("total_salary"),
-            ROWS.alias("employee_count"),
+            row_count().alias("employee_count"),
         )
         .orderBy("year", "dept_name")
     )

@@ -24,9 +24,15 @@ from tidemark.sources.writers import write_tables
 
 _stored: dict[tuple[str, str], str] = {}
 
-ORDER_DAY = F.col("o_orderdate").cast("date")
-DEPT_NO = F.concat(F.lit("d00"), F.substring("o_orderpriority", 1, 1))
-EMP_NO = F.col("o_custkey").cast("int")
+
+def assignments(spark: SparkSession, folder: str) -> DataFrame:
+    """Every order as the assignment it stands for; a customer's day may repeat."""
+    return spark.read.parquet(f"{folder}/orders.parquet").select(
+        F.col("o_custkey").cast("int").alias("emp_no"),
+        F.concat(F.lit("d00"), F.substring("o_orderpriority", 1, 1)).alias("dept_no"),
+        F.col("o_orderdate").cast("date").alias("from_date"),
+        "o_orderkey",
+    )
 
 
 def _ended_by_next(df: DataFrame, key: str) -> DataFrame:
@@ -43,34 +49,36 @@ def derive(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The six tables as lazy frames over ``orders`` and ``customer``."""
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     customer = spark.read.parquet(f"{folder}/customer.parquet")
+    dept_no = F.concat(F.lit("d00"), F.substring("o_orderpriority", 1, 1))
+    emp_no = F.col("o_custkey").cast("int")
+    day = F.col("o_orderdate").cast("date")
+    year = F.year("o_orderdate")
 
     departments = orders.select(
-        DEPT_NO.alias("dept_no"), F.substring("o_orderpriority", 3, 1_000).alias("dept_name")
+        dept_no.alias("dept_no"), F.expr("substr(o_orderpriority, 3)").alias("dept_name")
     ).distinct()
 
-    hired = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
-        F.min(ORDER_DAY).alias("hire_date")
-    )
-    name = F.split_part("c_name", F.lit("#"), F.lit(1)), F.split_part("c_name", F.lit("#"), F.lit(2))
+    hired = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.min(day).alias("hire_date"))
     employees = customer.join(hired, "c_custkey").select(
         F.col("c_custkey").cast("int").alias("emp_no"),
         F.lit(date(1950, 1, 1)).alias("birth_date"),
-        name[0].alias("first_name"),
-        name[1].alias("last_name"),
+        F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
+        F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
         F.when(F.col("c_nationkey") % 2 == 0, "M").otherwise("F").alias("gender"),
         "hire_date",
     )
 
     dept_emp = (
-        orders.groupBy(EMP_NO.alias("emp_no"), ORDER_DAY.alias("from_date"))
-        .agg(F.min(F.struct("o_orderkey", DEPT_NO.alias("dept_no"))).alias("first"))
+        assignments(spark, folder)
+        .groupBy("emp_no", "from_date")
+        .agg(F.min(F.struct("o_orderkey", "dept_no")).alias("first"))
         .select("emp_no", "first.dept_no", "from_date")
     )
 
-    turn = F.year("o_orderdate") + F.when(F.month("o_orderdate") >= 4, 1).otherwise(0)
+    turn = year + F.when(F.month("o_orderdate") >= 4, 1).otherwise(0)
     titles = (
-        orders.groupBy(EMP_NO.alias("emp_no"), turn.alias("turn"))
-        .agg(F.min(F.struct(ORDER_DAY, "o_orderkey", "o_orderstatus")).alias("first"))
+        orders.groupBy(emp_no.alias("emp_no"), turn.alias("turn"))
+        .agg(F.min(F.struct(day, "o_orderkey", "o_orderstatus")).alias("first"))
         .select(
             "emp_no",
             F.col("first.o_orderstatus").alias("title"),
@@ -79,16 +87,20 @@ def derive(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     )
 
     salaries = (
-        orders.groupBy(EMP_NO.alias("emp_no"), F.year("o_orderdate").alias("y"))
+        orders.groupBy(emp_no.alias("emp_no"), year.alias("year"))
         .agg(F.round(F.max("o_totalprice")).cast("int").alias("salary"))
-        .select("emp_no", "salary", _first_of_year(F.col("y"), 1).alias("from_date"))
+        .select("emp_no", "salary", _first_of_year(F.col("year"), 1).alias("from_date"))
     )
 
-    largest = F.struct((-F.col("o_totalprice")).alias("rest"), "o_orderkey", EMP_NO.alias("emp_no"))
+    largest = F.struct((-F.col("o_totalprice")).alias("rest"), "o_orderkey", emp_no.alias("emp_no"))
     dept_manager = (
-        orders.groupBy("o_orderpriority", F.year("o_orderdate").alias("y"))
+        orders.groupBy("o_orderpriority", year.alias("year"))
         .agg(F.min(largest).alias("first"))
-        .select("first.emp_no", DEPT_NO.alias("dept_no"), _first_of_year(F.col("y"), 1).alias("from_date"))
+        .select(
+            "first.emp_no",
+            dept_no.alias("dept_no"),
+            _first_of_year(F.col("year"), 1).alias("from_date"),
+        )
     )
 
     return {
