@@ -56,19 +56,18 @@ def value_changes(
 
     The previous value is that of the row before in the order (``at``,
     ``value``) over the whole history. A key's first row is no change, and a
-    null on either side is none. Result: key, change_date, old_value,
-    new_value, change_type.
+    null on either side is none; rows without a key are left out. Result: key,
+    change_date, old_value, new_value, change_type.
 
     Only rows of the period are put in order. All history before it counts
-    through its last row per key, a map-side combined maximum of which only the
-    keys seen in the period are kept. Rows of one key and day are first reduced
-    to the lowest and highest value; changes inside such a day are found
-    separately. So no window holds more than one row per day of the period for
-    a key, or the distinct values of one key on one day.
+    through its last row per key, a map-side combined maximum that is joined on.
+    Rows of one key and day are first reduced to the lowest and highest value;
+    changes inside such a day are found separately. So no window holds more than
+    one row per day of the period for a key, or the values of one key on one day.
     """
     first, last = as_day(start), as_day(end)
     day = F.col(at)
-    rows = df.select(key, at, value)
+    rows = df.filter(F.col(key).isNotNull()).select(key, at, value)
     period = rows.filter(day.between(first, last))
 
     # Null sorts first: a day with a null begins with it.
@@ -78,14 +77,17 @@ def value_changes(
         rows.filter((day < first) | day.isNull())
         .groupBy(key)
         .agg(F.max(F.struct(at, value)).alias("last"))
-        .select(key, F.col(f"last.{value}").alias("high"))
-        .join(period.select(key), key, "left_semi")
+        .select(key, F.col(f"last.{value}").alias("before"))
     )
-    timeline = days.unionByName(before, allowMissingColumns=True)
     by_day = Window.partitionBy(key).orderBy(at)
-    across = timeline.select(
-        key, at, F.lag("high").over(by_day).alias("old_value"), F.col("low").alias("new_value")
-    ).filter(day.isNotNull())
+    previous = F.when(F.col("nth") == 1, F.col("before")).otherwise(F.col("previous_high"))
+    across = (
+        days.withColumns(
+            {"previous_high": F.lag("high").over(by_day), "nth": F.row_number().over(by_day)}
+        )
+        .join(before, key, "left")
+        .select(key, at, previous.alias("old_value"), F.col("low").alias("new_value"))
+    )
 
     in_day = Window.partitionBy(key, at).orderBy(value)
     within = period.distinct().select(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,14 +33,15 @@ def heavy_keys(
     key. The counts are estimates, which is enough: the joins are exact with
     any list of keys, the list only decides where work is split further.
     """
-    found: set[int] = set()
-    for frame in frames:
-        hashes = frame.select(key_hash(keys).alias("h"))
-        items = (
-            hashes.groupBy(F.pmod("h", F.lit(GROUPS)).alias("g"))
-            .agg(F.expr(f"approx_top_k(h, {TOP}, {TRACKED})").alias("top"))
-            .select(F.inline("top"))
-            .filter(F.col("count") > min_rows)
-        )
-        found.update(row["item"] for row in items.collect())
-    return sorted(found)
+    parts = [
+        frame.select(F.lit(i).alias("frame"), key_hash(keys).alias("h"))
+        for i, frame in enumerate(frames)
+    ]
+    items = (
+        reduce(DataFrame.unionAll, parts)
+        .groupBy("frame", F.pmod("h", F.lit(GROUPS)))
+        .agg(F.expr(f"approx_top_k(h, {TOP}, {TRACKED})").alias("top"))
+        .select(F.inline("top"))
+        .filter(F.col("count") > min_rows)
+    )
+    return sorted({row["item"] for row in items.collect()})

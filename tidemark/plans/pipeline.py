@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import as_day, previous_month
+from tidemark.model import SPECS
 from tidemark.operators import clean, profile
 from tidemark.plans import reports
 from tidemark.session import configure
@@ -29,7 +30,7 @@ def run_pipeline(
     configure(spark)
     paths = {"quality": write_parquet(profile(tables), f"{out}/quality")}
     paths["tables"] = write_tables(clean(tables), f"{out}/tables")
-    t = read_tables(spark, paths["tables"], tables)
+    t = read_tables(spark, paths["tables"], tables, SPECS)
 
     by_department = reports.annual_salary_by_department(
         t["dept_emp"], t["departments"], t["salaries"]

@@ -11,16 +11,29 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import IntegerType, LongType
 
-from tidemark.model import SPECS
+from tidemark.model import SPECS, TableSpec
 
 FETCH_SIZE = 10_000
 
 
 def read_tables(
-    spark: SparkSession, root: str, names: Iterable[str] = tuple(SPECS)
+    spark: SparkSession,
+    root: str,
+    names: Iterable[str] = tuple(SPECS),
+    specs: dict[str, TableSpec] | None = None,
 ) -> dict[str, DataFrame]:
-    """The tables below ``root``, one Parquet folder or file each."""
-    return {name: spark.read.parquet(f"{root}/{name}.parquet") for name in names}
+    """The tables below ``root``, one Parquet folder or file each.
+
+    Types are taken from the files, so that they can be checked. For tables
+    known to be clean ``specs`` gives them and saves a job per table.
+    """
+    tables = {}
+    for name in names:
+        reader = spark.read
+        if specs and name in specs:
+            reader = reader.schema(specs[name].schema)
+        tables[name] = reader.parquet(f"{root}/{name}.parquet")
+    return tables
 
 
 def jdbc_options(

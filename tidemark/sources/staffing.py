@@ -123,4 +123,4 @@ def stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     if run not in _stored:
         root = new_scratch_path(spark, "staffing")
         _stored[run] = write_tables(derive(spark, folder), root)
-    return read_tables(spark, _stored[run], SPECS)
+    return read_tables(spark, _stored[run], specs=SPECS)
