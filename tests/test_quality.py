@@ -1,0 +1,108 @@
+"""Checks and repairs on broken tables."""
+
+import pytest
+from pyspark.errors import PySparkException
+
+from frames import OPEN, day, departments, rows, table
+from tidemark.model import SPECS
+from tidemark.operators import (
+    cast_failures,
+    cast_to,
+    clean,
+    dedup,
+    duplicate_keys,
+    inverted_intervals,
+    null_counts,
+    profile,
+    type_diff,
+)
+
+PAY = SPECS["salaries"].schema
+KEY = SPECS["salaries"].key
+
+
+def broken(spark):
+    return table(
+        spark,
+        "salaries",
+        (1, 100, "1990-01-01", "1991-01-01"),
+        (1, 200, "1990-01-01", "1991-01-01"),  # group of two
+        (2, 100, "1990-01-01", OPEN),
+        (2, 100, "1990-01-01", OPEN),
+        (2, 300, "1990-01-01", OPEN),  # group of three
+        (3, None, "1992-01-01", "1991-01-01"),  # inverted, null salary
+        (4, 100, "1992-01-01", None),  # null end is not inverted
+        (5, 100, "1992-01-01", "1992-01-01"),  # empty is not inverted
+    )
+
+
+def test_counts(spark):
+    df = broken(spark)
+    assert rows(null_counts(df)) == [(0, 1, 0, 1)]
+    assert rows(duplicate_keys(df, KEY)) == [(2,)]
+    assert rows(inverted_intervals(df)) == [(1,)]
+    assert rows(inverted_intervals(departments(spark, "d1"))) == [(None,)]
+
+
+def test_dedup_keeps_the_same_row_each_time(spark):
+    df = broken(spark)
+    assert [r[:2] for r in rows(dedup(df, KEY))] == [(1, 100), (2, 100), (3, None), (4, 100), (5, 100)]
+    latest = dedup(df, KEY, [df["salary"].desc()])
+    assert [r[:2] for r in rows(latest)] == [(1, 200), (2, 300), (3, None), (4, 100), (5, 100)]
+    only_key = df.select("emp_no")
+    assert dedup(only_key, ["emp_no"]).count() == 5
+
+
+def test_types(spark):
+    df = spark.createDataFrame(
+        [("1", "100", day("1990-01-01"), "x"), ("2", "100 USD", None, "y")],
+        "emp_no string, salary string, from_date date, extra string",
+    )
+    assert type_diff(df, PAY) == [
+        {"column": "emp_no", "current_type": "string", "expected_type": "int"},
+        {"column": "salary", "current_type": "string", "expected_type": "int"},
+    ]
+    lenient = cast_to(df, PAY, strict=False)
+    assert lenient.columns == df.columns
+    assert rows(lenient.select("emp_no", "salary")) == [(1, 100), (2, None)]
+    assert rows(cast_failures(df, PAY)) == [("emp_no", 0), ("salary", 1)]
+    assert rows(cast_failures(lenient, PAY)) == []
+    assert cast_to(lenient, PAY) is lenient
+    with pytest.raises(PySparkException):
+        cast_to(df, PAY).collect()
+
+
+def test_profile(spark):
+    text = departments(spark, "d1").selectExpr("dept_no", "cast(1 as int) as dept_name")
+    found = profile({"salaries": broken(spark), "departments": text, "other": spark.range(3)})
+    assert found.columns == ["table", "check", "column", "value"]
+    assert rows(found) == sorted(
+        [
+            ("salaries", "rows", "*", 8),
+            ("salaries", "nulls", "emp_no", 0),
+            ("salaries", "nulls", "salary", 1),
+            ("salaries", "nulls", "from_date", 0),
+            ("salaries", "nulls", "to_date", 1),
+            ("salaries", "inverted_intervals", "from_date,to_date", 1),
+            ("salaries", "duplicate_keys", "emp_no,from_date", 2),
+            ("departments", "rows", "*", 1),
+            ("departments", "nulls", "dept_no", 0),
+            ("departments", "nulls", "dept_name", 0),
+            ("departments", "type_mismatch", "dept_name", 1),
+            ("departments", "duplicate_keys", "dept_no", 0),
+            ("other", "rows", "*", 3),
+            ("other", "nulls", "id", 0),
+        ],
+        key=repr,
+    )
+
+
+def test_clean_leaves_the_input_alone(spark):
+    tables = {"salaries": broken(spark), "other": spark.range(3)}
+    given = dict(tables)
+    cleaned = clean(tables, fix_nulls=lambda df: df.fillna(0))
+    assert tables == given
+    assert rows(duplicate_keys(cleaned["salaries"], KEY)) == [(0,)]
+    assert cleaned["salaries"].count() == 5
+    assert cleaned["salaries"].filter("emp_no = 3").first().salary == 0
+    assert cleaned["other"].count() == 3

@@ -163,8 +163,6 @@ def manager_impact(
     Somebody still in the department counts up to ``as_of`` even if the
     manager's term ended before; ``clip_to_manager`` ends it with the term.
     """
-    # People with the same department and dates are counted once with a weight.
-    stays = dept_emp.groupBy("dept_no", "from_date", "to_date").agg(row_count().alias("people"))
     terms = dept_manager.select(
         F.col("emp_no").alias("manager_id"),
         "dept_no",
@@ -172,8 +170,10 @@ def manager_impact(
         "to_date",
         F.col("to_date").alias("term_end"),
     )
+    # With few managers this is a broadcast join: assignments do not move, and
+    # what does move is one partial sum per manager and task.
     pairs = overlap_join(
-        stays,
+        dept_emp,
         close_open_intervals(terms, as_of=as_of),
         "dept_no",
         strict=False,
@@ -190,7 +190,7 @@ def manager_impact(
         until = earlier_of(until, closed_term)
     days = days_between(later_of(F.col("from_date"), F.col("from_date_term")), until)
     sums = pairs.groupBy("manager_id", "dept_no").agg(
-        F.sum(days * F.col("people")).alias("days"), F.sum("people").alias("people")
+        F.sum(days).alias("days"), F.count(days).alias("people")
     )
     names = employees.join(dept_manager.select("emp_no"), "emp_no", "left_semi").select(
         F.col("emp_no").alias("manager_id"), full_name().alias("manager_name")
