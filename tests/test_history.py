@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from frames import day, rows
 from tidemark.functions import as_day, previous_month
-from tidemark.operators import latest_by_key, value_changes
+from tidemark.operators import heavy_keys, latest_by_key, value_changes
 
 START, END = date(2000, 1, 1), date(2000, 6, 30)
 
@@ -28,8 +28,9 @@ def brute_changes(history, start=START, end=END):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_value_changes_equals_brute_force(spark, seed):
+@pytest.mark.parametrize("split", ["none", "hot", "all"])
+@pytest.mark.parametrize("seed", range(2))
+def test_value_changes_equals_brute_force(spark, seed, split):
     pick = random.Random(seed)
     history = []
     for _ in range(600):
@@ -43,7 +44,9 @@ def test_value_changes_equals_brute_force(spark, seed):
             )
         )
     df = spark.createDataFrame(history, "k int, v string, from_date date")
-    got = rows(value_changes(df, "k", "v", START, END, "Change"))
+    heavy = heavy_keys([df], ["k"], {"none": 10**6, "hot": 100, "all": 0}[split])
+    assert {"none": 0, "hot": 1}.get(split, 25) <= len(heavy) <= 26
+    got = rows(value_changes(df, "k", "v", START, END, "Change", heavy=heavy))
     # The order of equal days is fixed, so repeated rows change nothing.
     assert got == brute_changes(history)
     assert got

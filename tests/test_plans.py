@@ -45,10 +45,11 @@ def test_current_filter_reaches_the_scan(tables):
     assert "birth_date" not in text
 
 
-def test_period_reaches_the_scan_but_history_stays(tables):
-    text = plan(entry.queries()["value_changes"](tables["titles"].sparkSession, FOLDER))
-    assert "GreaterThanOrEqual(from_date,2000-01-01)" in text
-    assert "LessThan(from_date,2000-01-01)" in text
+def test_end_of_period_reaches_the_scan_and_history_stays(spark):
+    text = plan(QUERIES["value_changes"](spark, FOLDER))
+    assert "LessThanOrEqual(from_date,2000-06-30)" in text
+    assert "GreaterThanOrEqual(from_date" not in text
+    assert text.count("Exchange") == 1
 
 
 def test_latest_row_is_cut_before_the_shuffle(tables):

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_day, is_open
+from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys, key_hash
 
 
 def current_rows(df: DataFrame, end: str = "to_date") -> DataFrame:
@@ -51,6 +52,7 @@ def value_changes(
     end: date | str | Column,
     label: str,
     at: str = "from_date",
+    heavy: list[int] | None = None,
 ) -> DataFrame:
     """Changes of ``value`` per key that take effect from ``start`` to ``end``.
 
@@ -59,48 +61,70 @@ def value_changes(
     null on either side is none; rows without a key are left out. Result: key,
     change_date, old_value, new_value, change_type.
 
-    Only rows of the period are put in order. All history before it counts
-    through its last row per key, a map-side combined maximum that is joined on.
-    Rows of one key and day are first reduced to the lowest and highest value;
-    changes inside such a day are found separately. So no window holds more than
-    one row per day of the period for a key, or the values of one key on one day.
+    Rows after the period are dropped first, as nothing before depends on them.
+    The rest is put in order by key, but for the keys with too many rows for
+    one task: those are handled in a way that never gathers a key's rows.
+    ``heavy`` replaces the search for them, ``[]`` turns it off.
     """
     first, last = as_day(start), as_day(end)
-    day = F.col(at)
-    rows = df.filter(F.col(key).isNotNull()).select(key, at, value)
-    period = rows.filter(day.between(first, last))
+    rows = df.select(key, F.col(at).alias("at"), F.col(value).alias("value"))
+    rows = rows.filter(F.col(key).isNotNull() & ((F.col("at") <= last) | F.col("at").isNull()))
+    if heavy is None:
+        heavy = heavy_keys([df], [key], HEAVY_WINDOW_ROWS)
+    if heavy:
+        split = key_hash([key]).isin(heavy)
+        pairs = _ordered_pairs(rows.filter(~split), key, first).unionByName(
+            _heavy_pairs(rows.filter(split), key, first)
+        )
+    else:
+        pairs = _ordered_pairs(rows, key, first)
+    return pairs.filter(F.col("new_value") != F.col("old_value")).select(
+        key,
+        F.col("at").alias("change_date"),
+        "old_value",
+        "new_value",
+        F.lit(label).alias("change_type"),
+    )
+
+
+def _ordered_pairs(rows: DataFrame, key: str, first: Column) -> DataFrame:
+    """Each value from ``first`` on with the one before it: one shuffle by key."""
+    in_order = Window.partitionBy(key).orderBy("at", "value")
+    previous = F.lag("value").over(in_order)
+    return rows.select(
+        key, "at", previous.alias("old_value"), F.col("value").alias("new_value")
+    ).filter(F.col("at") >= first)
+
 
+def _heavy_pairs(rows: DataFrame, key: str, first: Column) -> DataFrame:
+    """The same pairs but those of equal values, without a window over a key's rows.
+
+    History before the period counts through its last row, a maximum combined
+    on the map side. In the period rows of one key and day are reduced to the
+    lowest and highest value, and the pairs inside such a day found separately.
+    A window sees one row per day of a key, or the values of a key on one day.
+    """
+    period = rows.filter(F.col("at") >= first)
     # Null sorts first: a day with a null begins with it.
-    lowest = F.when(F.count(value) == F.count(F.lit(1)), F.min(value))
-    days = period.groupBy(key, at).agg(lowest.alias("low"), F.max(value).alias("high"))
+    lowest = F.when(F.count("value") == F.count(F.lit(1)), F.min("value"))
+    days = period.groupBy(key, "at").agg(lowest.alias("low"), F.max("value").alias("high"))
     before = (
-        rows.filter((day < first) | day.isNull())
+        rows.filter((F.col("at") < first) | F.col("at").isNull())
         .groupBy(key)
-        .agg(F.max(F.struct(at, value)).alias("last"))
-        .select(key, F.col(f"last.{value}").alias("before"))
+        .agg(F.max(F.struct("at", "value")).alias("last"))
+        .select(key, F.col("last.value").alias("before"))
     )
-    by_day = Window.partitionBy(key).orderBy(at)
+    by_day = Window.partitionBy(key).orderBy("at")
     previous = F.when(F.col("nth") == 1, F.col("before")).otherwise(F.col("previous_high"))
     across = (
         days.withColumns(
             {"previous_high": F.lag("high").over(by_day), "nth": F.row_number().over(by_day)}
         )
         .join(before, key, "left")
-        .select(key, at, previous.alias("old_value"), F.col("low").alias("new_value"))
+        .select(key, "at", previous.alias("old_value"), F.col("low").alias("new_value"))
     )
-
-    in_day = Window.partitionBy(key, at).orderBy(value)
+    in_day = Window.partitionBy(key, "at").orderBy("value")
     within = period.distinct().select(
-        key, at, F.lag(value).over(in_day).alias("old_value"), F.col(value).alias("new_value")
-    )
-    return (
-        across.unionByName(within)
-        .filter(F.col("new_value") != F.col("old_value"))
-        .select(
-            key,
-            day.alias("change_date"),
-            "old_value",
-            "new_value",
-            F.lit(label).alias("change_type"),
-        )
+        key, "at", F.lag("value").over(in_day).alias("old_value"), F.col("value").alias("new_value")
     )
+    return across.unionByName(within)

@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # A key with more intervals than this is split by year in the interval joins.
 HEAVY_ROWS = 1_000
 
+# A key with more rows than this is kept out of the windows over a key.
+HEAVY_WINDOW_ROWS = 1_000_000
+
 # Size of the frequent-item sketches: keys are dealt into GROUPS, each group
 # keeps a sketch of TRACKED items and reports the TOP of them. A task emits at
 # most GROUPS * TRACKED counters whatever its input, and at most GROUPS * TOP

@@ -36,6 +36,7 @@ from tidemark.operators import (
     point_in_interval_join,
     value_changes,
 )
+from tidemark.operators.skew import HEAVY_WINDOW_ROWS
 
 
 def career_progression(employees: DataFrame, titles: DataFrame, as_of: date = AS_OF) -> DataFrame:
@@ -361,9 +362,12 @@ def employee_changes(
     manager changes the names of the managers, null for one who is unknown.
     """
     period = as_day(start), as_day(end)
+    keys = [h.select(F.col("emp_no").alias("k")) for h in (dept_emp, titles, salaries)]
+    keys.append(dept_manager.select(F.col("dept_no").alias("k")))
+    heavy = heavy_keys(keys, ["k"], HEAVY_WINDOW_ROWS)
 
     def changes(history: DataFrame, key: str, value: str, label: str) -> DataFrame:
-        return value_changes(history, key, value, *period, label).withColumns(
+        return value_changes(history, key, value, *period, label, heavy=heavy).withColumns(
             {c: F.col(c).cast("string") for c in ("old_value", "new_value")}
         )
 
