@@ -92,6 +92,18 @@ def _dq_clean(spark: SparkSession, folder: str) -> DataFrame:
     return op.clean({"dept_emp": _as_text(ended)})["dept_emp"]
 
 
+def _dq_profile_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """Text numbers, repeated keys, missing ends and ends before the start."""
+    shift = F.nullif(F.col("o_orderkey") % 100, F.lit(0)) - 50
+    raw = staffing.assignments(spark, folder).select(
+        F.col("emp_no").cast("string"),
+        "dept_no",
+        "from_date",
+        F.date_add("from_date", shift.cast("int")).alias("to_date"),
+    )
+    return op.profile({"dept_emp": raw})
+
+
 def _master(t: Tables) -> DataFrame:
     return plans.employee_master(*[t[n] for n in MASTER])
 
@@ -183,6 +195,7 @@ OF_ORDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         staffing.assignments(spark, folder), ["emp_no", "from_date"], ["o_orderkey"]
     ),
     "dq_clean": _dq_clean,
+    "dq_profile_raw": _dq_profile_raw,
 }
 
 

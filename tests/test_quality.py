@@ -39,7 +39,7 @@ def broken(spark):
 def test_counts(spark):
     df = broken(spark)
     assert rows(null_counts(df)) == [(0, 1, 0, 1)]
-    assert rows(duplicate_keys(df, KEY)) == [(2,)]
+    assert rows(duplicate_keys(df, KEY)) == [(2, 3)]
     assert rows(inverted_intervals(df)) == [(1,)]
     assert rows(inverted_intervals(departments(spark, "d1"))) == [(None,)]
 
@@ -85,11 +85,13 @@ def test_profile(spark):
             ("salaries", "nulls", "to_date", 1),
             ("salaries", "inverted_intervals", "from_date,to_date", 1),
             ("salaries", "duplicate_keys", "emp_no,from_date", 2),
+            ("salaries", "surplus_rows", "emp_no,from_date", 3),
             ("departments", "rows", "*", 1),
             ("departments", "nulls", "dept_no", 0),
             ("departments", "nulls", "dept_name", 0),
             ("departments", "type_mismatch", "dept_name", 1),
             ("departments", "duplicate_keys", "dept_no", 0),
+            ("departments", "surplus_rows", "dept_no", 0),
             ("other", "rows", "*", 3),
             ("other", "nulls", "id", 0),
         ],
@@ -102,7 +104,7 @@ def test_clean_leaves_the_input_alone(spark):
     given = dict(tables)
     cleaned = clean(tables, fix_nulls=lambda df: df.fillna(0))
     assert tables == given
-    assert rows(duplicate_keys(cleaned["salaries"], KEY)) == [(0,)]
+    assert rows(duplicate_keys(cleaned["salaries"], KEY)) == [(0, 0)]
     assert cleaned["salaries"].count() == 5
     assert cleaned["salaries"].filter("emp_no = 3").first().salary == 0
     assert cleaned["other"].count() == 3

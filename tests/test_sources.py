@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from frames import OPEN, departments, employees, rows, table
 from tidemark import plans
 from tidemark.model import SPECS
-from tidemark.sources import jdbc_options, read_tables, write_csv, write_parquet, write_report
+from tidemark.sources import as_views, jdbc_options, read_tables, write_csv, write_parquet, write_report
 from tidemark.sources.readers import split_column
 
 
@@ -143,3 +143,9 @@ def test_changes_job_period(spark, tmp_path):
         assert spark.read.option("header", True).csv(uri).count() == count
     with pytest.raises(ValueError):
         plans.changes_job(spark, tables, str(tmp_path), start="2000-01-01")
+
+
+def test_tables_as_views(spark):
+    as_views(small_tables(spark))
+    current = spark.sql("select emp_no from titles where to_date = '9999-01-01'")
+    assert rows(current) == [(1,), (2,)]

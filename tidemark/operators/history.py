@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_day, is_open
+from tidemark.functions.values import row_count
 from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys, key_hash
 
 
@@ -106,7 +107,7 @@ def _heavy_pairs(rows: DataFrame, key: str, first: Column) -> DataFrame:
     """
     period = rows.filter(F.col("at") >= first)
     # Null sorts first: a day with a null begins with it.
-    lowest = F.when(F.count("value") == F.count(F.lit(1)), F.min("value"))
+    lowest = F.when(F.count("value") == row_count(), F.min("value"))
     days = period.groupBy(key, "at").agg(lowest.alias("low"), F.max("value").alias("high"))
     before = (
         rows.filter((F.col("at") < first) | F.col("at").isNull())

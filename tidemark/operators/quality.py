@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidemark.functions.values import row_count
 from tidemark.model import SPECS, TableSpec
 
 
@@ -18,9 +19,15 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """One row: how many key values occur more than once."""
-    groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    return groups.agg(F.count(F.lit(1)).alias("duplicate_keys"))
+    """One row: key values that occur more than once, and rows beyond the first.
+
+    The second number is what ``dedup`` on this key removes.
+    """
+    groups = df.groupBy(*key).agg(row_count().alias("n")).filter("n > 1")
+    return groups.agg(
+        row_count().alias("duplicate_keys"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("surplus_rows"),
+    )
 
 
 def _inverted(start: str, end: str) -> Column:
@@ -100,7 +107,7 @@ def _finding(check: str, column: str, value: Column) -> Column:
 
 
 def _profile_table(name: str, df: DataFrame, spec: TableSpec | None) -> DataFrame:
-    found = [_finding("rows", "*", F.count(F.lit(1)))]
+    found = [_finding("rows", "*", row_count())]
     found += [_finding("nulls", c, F.count_if(F.col(c).isNull())) for c in df.columns]
     parts = []
     if spec:
@@ -108,9 +115,10 @@ def _profile_table(name: str, df: DataFrame, spec: TableSpec | None) -> DataFram
         if spec.start and {spec.start, spec.end} <= set(df.columns):
             interval = f"{spec.start},{spec.end}"
             found.append(_finding("inverted_intervals", interval, _inverted(spec.start, spec.end)))
-        keyed = duplicate_keys(df, spec.key)
         label = ",".join(spec.key)
-        parts.append(keyed.select(_finding("duplicate_keys", label, F.col("duplicate_keys")).alias("f")))
+        keyed = [_finding(c, label, F.col(c)) for c in ("duplicate_keys", "surplus_rows")]
+        counted = duplicate_keys(df, spec.key).select(F.explode(F.array(*keyed)).alias("f"))
+        parts.append(counted)
     fused = df.agg(F.array(*found).alias("all")).select(F.explode("all").alias("f"))
     rows = reduce(DataFrame.unionByName, [fused, *parts])
     return rows.select(F.lit(name).alias("table"), "f.*")

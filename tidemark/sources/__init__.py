@@ -1,7 +1,8 @@
-from tidemark.sources.readers import jdbc_options, read_jdbc, read_jdbc_tables, read_tables
+from tidemark.sources.readers import as_views, jdbc_options, read_jdbc, read_jdbc_tables, read_tables
 from tidemark.sources.writers import write_csv, write_parquet, write_report, write_tables
 
 __all__ = [
+    "as_views",
     "jdbc_options",
     "read_jdbc",
     "read_jdbc_tables",

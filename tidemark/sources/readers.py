@@ -36,6 +36,12 @@ def read_tables(
     return tables
 
 
+def as_views(tables: dict[str, DataFrame]) -> None:
+    """Make the tables known to Spark SQL under their names."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
 def jdbc_options(
     url: str,
     table: str,
