@@ -15,7 +15,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import changes_job, run_pipeline
-from tidemark.sources import read_jdbc_tables, read_tables
+from tidemark.session import configure
+from tidemark.sources import read_jdbc_tables, read_tables, write_tables
 
 
 def parse(arguments: list[str] | None = None) -> argparse.Namespace:
@@ -31,6 +32,9 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--password-file", type=Path)
         job.add_argument("--driver", default="com.mysql.cj.jdbc.Driver")
         job.add_argument("--partitions", type=int, default=64, help="parallel reads per table")
+        job.add_argument(
+            "--shuffled-gb", type=float, help="size of the largest table, to size the shuffles"
+        )
         job.add_argument("--start", help="first day of the change report")
         job.add_argument("--end", help="last day of the change report")
     jobs.choices["changes"].add_argument(
@@ -46,13 +50,16 @@ def load(spark: SparkSession, options: argparse.Namespace) -> dict[str, DataFram
     if options.password_file:
         login["password"] = options.password_file.read_text().strip()
     given = {k: v for k, v in login.items() if v}
-    return read_jdbc_tables(spark, options.url, given, partitions=options.partitions)
+    tables = read_jdbc_tables(spark, options.url, given, partitions=options.partitions)
+    # Copied as it is, so that all further steps see one state of the database.
+    return read_tables(spark, write_tables(tables, f"{options.out.rstrip('/')}/raw", specs={}))
 
 
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
     spark = SparkSession.builder.appName("staff-reports").getOrCreate()
-    tables = load(spark, options)
+    size = int(options.shuffled_gb * 1024**3) if options.shuffled_gb else None
+    tables = load(configure(spark, size), options)
     out = options.out.rstrip("/")
     period = {k: v for k in ("start", "end") if (v := getattr(options, k))}
     if options.job == "run":

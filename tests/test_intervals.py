@@ -71,6 +71,20 @@ def test_overlap_join_equals_brute_force(spark, strict, split):
     assert got
 
 
+def test_overlap_join_on_two_columns(spark):
+    left, right = random_history(8, 200, 6, 1000), random_history(9, 100, 6, 5000)
+    l = frame(spark, left, "a").withColumn("j", F.col("a") % 2)
+    r = frame(spark, right, "b").withColumn("j", F.col("b") % 2)
+    for heavy in ([], heavy_keys([r], ["k", "j"], min_rows=0)):
+        got = rows(
+            overlap_join(l, r, ["k", "j"], heavy=heavy).select(
+                "k", "a", "b", "overlap_start", "overlap_end", "overlap_days"
+            )
+        )
+        want = [p for p in brute_overlap(left, right, True) if p[1] % 2 == p[2] % 2]
+        assert got == want and got
+
+
 @pytest.mark.parametrize("split", [False, True])
 def test_point_in_interval_join_equals_brute_force(spark, split):
     points, history = random_history(3, 300, 10, 1000), random_history(4, 150, 10, 5000)

@@ -10,7 +10,6 @@ from tidemark.functions import as_day, previous_month
 from tidemark.model import SPECS
 from tidemark.operators import clean, profile
 from tidemark.plans import reports
-from tidemark.session import configure
 from tidemark.sources.readers import read_tables
 from tidemark.sources.writers import write_csv, write_parquet, write_report, write_tables
 
@@ -27,7 +26,6 @@ def run_pipeline(
     The reports read the stored tables, so the source is read for the checks
     and once for the copy. Returns the paths written by name.
     """
-    configure(spark)
     paths = {"quality": write_parquet(profile(tables), f"{out}/quality")}
     paths["tables"] = write_tables(clean(tables), f"{out}/tables")
     t = read_tables(spark, paths["tables"], tables, SPECS)
@@ -74,7 +72,6 @@ def changes_job(
         period = previous_month(month_before)
     else:
         raise ValueError("give start and end, or month_before")
-    configure(spark)
     names = ("employees", "dept_emp", "titles", "salaries", "dept_manager", "departments")
     changes = reports.employee_changes(*[tables[n] for n in names], *period)
     uri = f"{out}/employee_changes"

@@ -20,10 +20,26 @@ RUNTIME_SETTINGS = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Put the runtime settings on ``spark`` and hand it back."""
+# A shuffle partition of this size sorts in the memory of one task.
+PARTITION_BYTES = 128 * 1024**2
+MOST_PARTITIONS = 100_000
+
+
+def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+    """Put the runtime settings on ``spark`` and hand it back.
+
+    ``shuffled_bytes`` is the size of the largest table to be shuffled. Shuffles
+    then start with as many partitions as it needs; adaptive execution merges
+    those that turn out small.
+    """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
+    if shuffled_bytes:
+        least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = min(-(-shuffled_bytes // PARTITION_BYTES), MOST_PARTITIONS)
+        spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, wanted))
+        )
     return spark
 
 
