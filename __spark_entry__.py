@@ -127,13 +127,13 @@ def _sink_tables(spark: SparkSession, t: Tables) -> DataFrame:
     return spark.read.parquet(f"{root}/dept_emp.parquet")
 
 
-def _pipeline_annual(spark: SparkSession, t: Tables) -> DataFrame:
-    paths = plans.run_pipeline(spark, t, new_scratch_path(spark, "run"))
+def _full_run(spark: SparkSession, t: Tables) -> DataFrame:
+    paths = plans.reports_job(spark, t, new_scratch_path(spark, "run"))
     like = plans.annual_salary_by_department(t["dept_emp"], t["departments"], t["salaries"])
     return _read_csv(like, paths["annual_salary_by_department"])
 
 
-def _pipeline_changes(spark: SparkSession, t: Tables) -> DataFrame:
+def _monthly_run(spark: SparkSession, t: Tables) -> DataFrame:
     uri = plans.changes_job(spark, t, new_scratch_path(spark, "run"), month_before=MONTH_AFTER)
     return _read_csv(plans.employee_changes(*[t[n] for n in CHANGED]), uri)
 
@@ -183,8 +183,8 @@ OF_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "sink_parquet_roundtrip": _sink_parquet,
     "sink_csv_roundtrip": _sink_csv,
     "sink_tables_roundtrip": _sink_tables,
-    "pipeline_annual_salary": _pipeline_annual,
-    "pipeline_changes": _pipeline_changes,
+    "full_run_annual_salary": _full_run,
+    "monthly_run_changes": _monthly_run,
 }
 
 OF_ORDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -14,7 +14,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.plans import changes_job, run_pipeline
+from tidemark.plans import changes_job, reports_job
 from tidemark.session import configure
 from tidemark.sources import read_jdbc_tables, read_tables, write_tables
 
@@ -63,7 +63,7 @@ def main(arguments: list[str] | None = None) -> None:
     out = options.out.rstrip("/")
     period = {k: v for k in ("start", "end") if (v := getattr(options, k))}
     if options.job == "run":
-        paths = run_pipeline(spark, tables, out, **period)
+        paths = reports_job(spark, tables, out, **period)
     else:
         uri = changes_job(spark, tables, out, **period, month_before=options.month_before)
         paths = {"employee_changes": uri}

@@ -111,7 +111,7 @@ def small_tables(spark):
 
 
 def test_whole_run(spark, tmp_path):
-    paths = plans.run_pipeline(spark, small_tables(spark), str(tmp_path))
+    paths = plans.reports_job(spark, small_tables(spark), str(tmp_path))
     found = spark.read.parquet(paths["quality"])
     assert found.filter("check = 'duplicate_keys' and value > 0").count() == 1
     assert {n: df.count() for n, df in read_tables(spark, paths["tables"]).items()} == {

@@ -20,7 +20,7 @@ HEAVY_WINDOW_ROWS = 1_000_000
 # keys reach the driver.
 GROUPS = 32
 TRACKED = 1_000
-TOP = 20
+TOP = 100
 
 
 def key_hash(keys: Sequence[str]) -> Column:

@@ -1,4 +1,4 @@
-from tidemark.plans.pipeline import changes_job, run_pipeline
+from tidemark.plans.jobs import changes_job, reports_job
 from tidemark.plans.reports import (
     annual_salary_by_department,
     career_progression,
@@ -22,7 +22,7 @@ __all__ = [
     "gender_ratio",
     "job_hoppers",
     "manager_impact",
-    "run_pipeline",
+    "reports_job",
     "salary_trends",
     "senior_employees",
 ]

@@ -7,19 +7,20 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import as_day, previous_month
-from tidemark.model import SPECS
+from tidemark.model import AS_OF, SPECS
 from tidemark.operators import clean, profile
 from tidemark.plans import reports
 from tidemark.sources.readers import read_tables
 from tidemark.sources.writers import write_csv, write_parquet, write_report, write_tables
 
 
-def run_pipeline(
+def reports_job(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     out: str,
     start: date | str = "2000-01-01",
     end: date | str = "2000-06-30",
+    as_of: date = AS_OF,
 ) -> dict[str, str]:
     """Check, clean and store the tables, then write the four reports.
 
@@ -31,7 +32,7 @@ def run_pipeline(
     t = read_tables(spark, paths["tables"], tables, SPECS)
 
     by_department = reports.annual_salary_by_department(
-        t["dept_emp"], t["departments"], t["salaries"]
+        t["dept_emp"], t["departments"], t["salaries"], as_of
     )
     # Years times departments: the only report of a size that stays small.
     paths["annual_salary_by_department"] = write_csv(
@@ -44,7 +45,7 @@ def run_pipeline(
         reports.job_hoppers(t["dept_emp"], t["employees"]), f"{out}/reports/job_hoppers"
     )
     master = reports.employee_master(
-        t["employees"], t["dept_emp"], t["titles"], t["salaries"], t["departments"]
+        t["employees"], t["dept_emp"], t["titles"], t["salaries"], t["departments"], as_of
     )
     paths["employee_master"], paths["employee_master_csv"] = write_report(
         master, f"{out}/reports/employee_master"
