@@ -8,11 +8,20 @@ from datetime import date
 from pyspark.sql.types import DateType, IntegerType, StringType, StructField, StructType
 
 # The end date that marks a row as still valid, the day on which
-# still-valid rows are counted as ending, and the year lengths the reports use.
+# still-valid rows are counted as ending, the year lengths the reports use, the
+# period of the change report, and the labels that reports show.
 OPEN_END = date(9999, 1, 1)
 AS_OF = date(2002, 12, 31)
 DAYS_PER_YEAR = 365
 DAYS_PER_TENURE_YEAR = 365.25
+PERIOD_START = date(2000, 1, 1)
+PERIOD_END = date(2000, 6, 30)
+DEPARTMENT_CHANGE = "Department Change"
+TITLE_CHANGE = "Title Change"
+SALARY_CHANGE = "Salary Change"
+MANAGER_CHANGE = "Manager Change"
+LOWEST_RETENTION = "Lowest Retention"
+HIGHEST_RETENTION = "Highest Retention"
 
 
 @dataclass(frozen=True)
@@ -38,6 +47,7 @@ def _history(key: tuple[str, ...], *columns) -> TableSpec:
     return TableSpec(_fields(*columns, *bounds), key, "from_date", "to_date")
 
 
+# Columns, types and keys of the tables.
 SPECS: dict[str, TableSpec] = {
     "employees": TableSpec(
         _fields(

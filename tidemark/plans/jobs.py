@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import as_day, previous_month
-from tidemark.model import AS_OF, SPECS
+from tidemark.model import AS_OF, PERIOD_END, PERIOD_START, SPECS
 from tidemark.operators import clean, profile
 from tidemark.plans import reports
 from tidemark.sources.readers import read_tables
@@ -18,8 +18,8 @@ def reports_job(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     out: str,
-    start: date | str = "2000-01-01",
-    end: date | str = "2000-06-30",
+    start: date | str = PERIOD_START,
+    end: date | str = PERIOD_END,
     as_of: date = AS_OF,
 ) -> dict[str, str]:
     """Check, clean and store the tables, then write the four reports.

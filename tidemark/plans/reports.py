@@ -26,7 +26,19 @@ from tidemark.functions import (
     rounded_ratio,
     row_count,
 )
-from tidemark.model import AS_OF, DAYS_PER_TENURE_YEAR, DAYS_PER_YEAR
+from tidemark.model import (
+    AS_OF,
+    DAYS_PER_TENURE_YEAR,
+    DAYS_PER_YEAR,
+    DEPARTMENT_CHANGE,
+    HIGHEST_RETENTION,
+    LOWEST_RETENTION,
+    MANAGER_CHANGE,
+    PERIOD_END,
+    PERIOD_START,
+    SALARY_CHANGE,
+    TITLE_CHANGE,
+)
 from tidemark.operators import (
     close_open_intervals,
     current_rows,
@@ -208,7 +220,7 @@ def manager_impact(
         means.filter(lowest | highest)
         .withColumn(
             "retention_type",
-            F.when(lowest, "Lowest Retention").otherwise("Highest Retention"),
+            F.when(lowest, LOWEST_RETENTION).otherwise(HIGHEST_RETENTION),
         )
         .orderBy("mean_days", "manager_id", "dept_name")
         .select(
@@ -353,8 +365,8 @@ def employee_changes(
     salaries: DataFrame,
     dept_manager: DataFrame,
     departments: DataFrame,
-    start: date | str | Column = "2000-01-01",
-    end: date | str | Column = "2000-06-30",
+    start: date | str | Column = PERIOD_START,
+    end: date | str | Column = PERIOD_END,
 ) -> DataFrame:
     """Log of department, title, salary and manager changes in a period.
 
@@ -379,9 +391,9 @@ def employee_changes(
         ]
 
     of_employees = (
-        changes(dept_emp, "emp_no", "dept_no", "Department Change")
-        .unionByName(changes(titles, "emp_no", "title", "Title Change"))
-        .unionByName(changes(salaries, "emp_no", "salary", "Salary Change"))
+        changes(dept_emp, "emp_no", "dept_no", DEPARTMENT_CHANGE)
+        .unionByName(changes(titles, "emp_no", "title", TITLE_CHANGE))
+        .unionByName(changes(salaries, "emp_no", "salary", SALARY_CHANGE))
         .join(employees.select("emp_no", full_name().alias("name")), "emp_no")
         .select(*event("emp_no", F.col("name")))
     )
@@ -392,7 +404,7 @@ def employee_changes(
     old = managers.withColumnsRenamed({"id": "old_value", "name": "old_name"})
     new = managers.withColumnsRenamed({"id": "new_value", "name": "new_name"})
     of_departments = (
-        changes(dept_manager, "dept_no", "emp_no", "Manager Change")
+        changes(dept_manager, "dept_no", "emp_no", MANAGER_CHANGE)
         .join(departments, "dept_no")
         .join(old, "old_value", "left")
         .join(new, "new_value", "left")
