@@ -4,6 +4,7 @@ import pytest
 
 from frames import OPEN, day, departments, employees, rows, table
 from tidemark import plans
+from tidemark.plans import reports
 
 
 def test_overlap_counts_whole_in_the_year_it_starts(spark):
@@ -79,8 +80,6 @@ def test_salary_trends_with_heavy_keys_split(spark, monkeypatch):
     titles = table(spark, "titles", (1, "t", "1985-01-01", "1990-01-01"), (1, "u", "1990-01-01", OPEN))
     args = salaries, employees(spark, 1), stays, departments(spark, "d1", "d2"), titles
     whole = rows(plans.salary_trends(*args))
-    from tidemark.plans import reports
-
     found = reports.heavy_keys
     monkeypatch.setattr(reports, "heavy_keys", lambda frames, keys: found(frames, keys, 0))
     assert rows(plans.salary_trends(*args)) == whole
@@ -194,7 +193,9 @@ def changes(spark, managers, people):
     )
 
 
-def test_changes_of_all_kinds(spark):
+@pytest.mark.parametrize("heavy_rows", [10**6, 0])
+def test_changes_of_all_kinds(spark, monkeypatch, heavy_rows):
+    monkeypatch.setattr(reports, "HEAVY_WINDOW_ROWS", heavy_rows)
     managers = table(
         spark, "dept_manager", (1, "d001", "1990-01-01", "2000-01-01"), (77, "d001", "2000-01-01", OPEN)
     )

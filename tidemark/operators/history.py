@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_day, is_open
 from tidemark.functions.values import row_count
-from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys, key_hash
+from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys, is_heavy
 
 
 def current_rows(df: DataFrame, end: str = "to_date") -> DataFrame:
@@ -73,7 +73,7 @@ def value_changes(
     if heavy is None:
         heavy = heavy_keys([df], [key], HEAVY_WINDOW_ROWS)
     if heavy:
-        split = key_hash([key]).isin(heavy)
+        split = is_heavy([key], heavy)
         pairs = _ordered_pairs(rows.filter(~split), key, first).unionByName(
             _heavy_pairs(rows.filter(split), key, first)
         )

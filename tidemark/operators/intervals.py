@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between, earlier_of, is_open, later_of, year_slot
 from tidemark.model import AS_OF
-from tidemark.operators.skew import heavy_keys, key_hash
+from tidemark.operators.skew import heavy_keys, is_heavy
 
 SLOT = "_slot"
 
@@ -46,12 +46,12 @@ def _slotted(df: DataFrame, keys: list[str], heavy: list[int], first: str, last:
     """Add the slot column; rows of heavy keys are repeated per year touched."""
     lowest = year_slot(F.col(first), top)
     highest = year_slot(F.greatest(F.col(first), F.col(last)), top)
-    slots = F.when(key_hash(keys).isin(heavy), F.sequence(lowest, highest))
+    slots = F.when(is_heavy(keys, heavy), F.sequence(lowest, highest))
     return df.withColumn(SLOT, F.explode(F.coalesce(slots, F.array(F.lit(0)))))
 
 
 def _slot_of(keys: list[str], heavy: list[int], day: Column, top: int) -> Column:
-    return F.when(key_hash(keys).isin(heavy), year_slot(day, top)).otherwise(F.lit(0))
+    return F.when(is_heavy(keys, heavy), year_slot(day, top)).otherwise(F.lit(0))
 
 
 def overlap_join(

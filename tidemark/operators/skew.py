@@ -27,6 +27,15 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*[F.col(k) for k in keys])
 
 
+def is_heavy(keys: Sequence[str], heavy: Sequence[int]) -> Column:
+    """True for rows whose key is among ``heavy``, which must not be empty.
+
+    Written as text, since a column object per number takes long to build.
+    """
+    columns = ", ".join(f"`{k}`" for k in keys)
+    return F.expr(f"xxhash64({columns}) in ({', '.join(f'{h}L' for h in heavy)})")
+
+
 def heavy_keys(
     frames: Sequence[DataFrame], keys: Sequence[str], min_rows: int = HEAVY_ROWS
 ) -> list[int]:
