@@ -69,7 +69,8 @@ def overlap_join(
 
     ``strict`` leaves out pairs that only touch. Columns both sides have get a
     suffix, the key excepted; overlap_start, overlap_end and overlap_days are
-    added. ``heavy`` replaces the search for heavy keys, ``[]`` turns it off.
+    added. ``heavy`` replaces the search for heavy keys, ``[]`` turns it off;
+    for their split all days from the year of ``as_of`` on count as one year.
     """
     keys = _key_list(key, left, right)
     if heavy is None:
