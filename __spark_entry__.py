@@ -23,6 +23,27 @@ from tidemark.model import OPEN_END, SPECS  # noqa: E402
 from tidemark.session import configure, new_scratch_path  # noqa: E402
 from tidemark.sources import staffing, write_csv, write_report, write_tables  # noqa: E402
 
+# The operators for training data are an optional part: only these imports are guarded.
+EXTRA: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+EXTRA_SQL: dict[str, str] = {}
+try:
+    import tidemark.llm
+except ImportError:
+    pass
+else:
+    from tidemark.llm import queries as llm_queries
+
+    EXTRA.update(llm_queries.QUERIES)
+    EXTRA_SQL.update(llm_queries.ORACLE_SQL)
+try:
+    import corpus_pipeline
+except ImportError:
+    pass
+else:
+    EXTRA["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        EXTRA_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
 Tables = dict[str, DataFrame]
 PERIOD = oracle.DEFAULT_PERIOD
 MONTH_AFTER = "2000-05-01"
@@ -219,9 +240,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         **{name: _on_tables(query) for name, query in OF_TABLES.items()},
         **{name: _on_orders(query) for name, query in OF_ORDERS.items()},
+        **EXTRA,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     """The same queries as SQL."""
-    return oracle.sql()
+    return {**oracle.sql(), **EXTRA_SQL}
