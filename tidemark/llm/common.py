@@ -2,23 +2,55 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from functools import cache
+from pathlib import Path
 
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
+import tidemark
+
 # Python works on at most this many bytes of text at a time, or on one row.
 PIECE_BYTES = 8 * 1024**2
 # Rows of one Arrow batch; long texts make a batch of the default 10,000 too large.
 BATCH_ROWS = 1000
 
 
+@cache
+def _package() -> str:
+    """This package as a zip file for the Python workers."""
+    folder = tempfile.mkdtemp(prefix="tidemark-")
+    atexit.register(shutil.rmtree, folder, True)
+    root = Path(tidemark.__file__).parent
+    with zipfile.ZipFile(f"{folder}/tidemark_code.zip", "w") as file:
+        for source in sorted(root.rglob("*.py")):
+            file.write(source, source.relative_to(root.parent))
+    return f"{folder}/tidemark_code.zip"
+
+
+@cache
+def ship(application: str) -> None:
+    """Let Spark send the package to the workers of the running application, once.
+
+    Spark's file server hands the zip out, so no folder has to be shared.
+    """
+    SparkContext._active_spark_context.addPyFile(_package())
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The table ``documents`` of a folder, in Arrow batches of ``BATCH_ROWS`` rows."""
+    ship(spark.sparkContext.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{folder}/documents.parquet")
 
@@ -62,7 +94,7 @@ class Memo(dict):
 def pieces(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``PIECE_BYTES`` in a text column, one row at least."""
     start, held = 0, 0
-    sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+    sizes = pc.binary_length(batch.column(column)).to_pylist()
     for row, size in enumerate(sizes):
         if held and held + (size or 0) > PIECE_BYTES:
             yield batch.slice(start, row - start)
@@ -85,6 +117,7 @@ def per_text(
     ``work`` gets a list of texts, null being empty, and gives one list or
     array for each of ``fields``. It runs inside the tasks, without a shuffle.
     """
+    ship(df.sparkSession.sparkContext.applicationId)
     source = df.select(id_column, F.coalesce(text_column, F.lit("")).alias("text"), *keep)
     own = [f for f in source.schema.fields if f.name != "text"]
     schema = StructType([*own, *fields])

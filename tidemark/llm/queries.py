@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import sentence_pieces, token_count
+from tidemark.llm import hilbert_shards, sentence_pieces, token_count, token_files
 from tidemark.llm.common import documents
-from tidemark.session import configure
+from tidemark.session import configure, new_scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,16 +19,53 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(documents(configure(spark), folder))
 
 
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents written as files in id order; digests of what was read back."""
+    target = new_scratch_path(configure(spark), "tokens")
+    token_files.write_token_files(documents(spark, folder), target)
+    return token_files.token_digests(token_files.read_token_files(spark, target))
+
+
 def op4_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Count and digests of the ids of each document and of the text they decode to."""
     return sentence_pieces.piece_digests(documents(configure(spark), folder))
 
 
+def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in 8 shards of equal count along a curve through four columns."""
+    text = F.coalesce("text", F.lit(""))
+    dimensions = {
+        "source": hilbert_shards.text_rank("source"),
+        "lang": hilbert_shards.text_rank("lang"),
+        "size": F.octet_length("text").cast("bigint"),
+        "doc_id": F.col("doc_id"),
+    }
+    placed = hilbert_shards.hilbert_shards(
+        documents(configure(spark), folder),
+        dimensions=dimensions,
+        carry=(
+            (F.octet_length(text) + 1).cast("long").alias("size"),
+            F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
+        ),
+    )
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op3_token_files,
         op4_sentence_pieces,
+        op9_hilbert_shards,
     )
 }
 
