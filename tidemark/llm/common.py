@@ -49,7 +49,12 @@ def ship(application: str) -> None:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The table ``documents`` of a folder, in Arrow batches of ``BATCH_ROWS`` rows."""
+    """The table ``documents`` of a folder, in Arrow batches of ``BATCH_ROWS`` rows.
+
+    Shuffle files of a query are removed when it ends, as what the next step
+    needs of it is written to the scratch folder.
+    """
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     ship(spark.sparkContext.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{folder}/documents.parquet")

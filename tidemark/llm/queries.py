@@ -7,8 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import hilbert_shards, sentence_pieces, token_count, token_files
-from tidemark.llm.common import documents
+from tidemark.llm import (
+    hilbert_shards,
+    language_kernel,
+    phrase_index,
+    quality_votes,
+    rare_digest,
+    sentence_pieces,
+    tensor_minhash,
+    token_count,
+    token_files,
+)
+from tidemark.llm.common import documents, remainder
 from tidemark.session import configure, new_scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +29,14 @@ def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_count.count_tokens(documents(configure(spark), folder))
 
 
+def op2_language_kernel(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of each document, learned where crc32 of the id modulo 3 is not 1."""
+    docs = documents(configure(spark), folder)
+    model = language_kernel.fit_languages(docs, remainder("doc_id", 3) != 1)
+    held_out = (remainder("doc_id", 3) == 1).alias("held_out")
+    return language_kernel.predict_languages(docs, model, keep=(held_out,))
+
+
 def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents written as files in id order; digests of what was read back."""
     target = new_scratch_path(configure(spark), "tokens")
@@ -31,6 +49,35 @@ def op4_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return sentence_pieces.piece_digests(documents(configure(spark), folder))
 
 
+def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of each document, learned where crc32 of the id modulo 5 is not 0."""
+    docs = documents(configure(spark), folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    model = quality_votes.fit_quality(docs, labels, remainder("doc_id", 5) != 0)
+    held_out = (remainder("doc_id", 5) == 0).alias("held_out")
+    return quality_votes.score_quality(docs, model, keep=(held_out,))
+
+
+def op7_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of each document that lie in a passage of ten words of the benchmark."""
+    docs = documents(configure(spark), folder)
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    target = new_scratch_path(spark, "postings")
+    return phrase_index.contamination(docs, benchmark, target).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op8_rare_digest(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of each document and of its edited text, and their likeness."""
+    return rare_digest.rare_digests(documents(configure(spark), folder))
+
+
 def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 8 shards of equal count along a curve through four columns."""
     text = F.coalesce("text", F.lit(""))
@@ -59,13 +106,24 @@ def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_tensor_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate classes of all documents: 3-word shingles, Jaccard 0.85 and more."""
+    docs = documents(configure(spark), folder)
+    return tensor_minhash.near_duplicates(docs, shingle=3, percent=85)
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts,
+        op2_language_kernel,
         op3_token_files,
         op4_sentence_pieces,
+        op5_quality_votes,
+        op7_phrase_index,
+        op8_rare_digest,
         op9_hilbert_shards,
+        op10_tensor_minhash,
     )
 }
 
