@@ -96,6 +96,19 @@ class Memo(dict):
         return found
 
 
+# Rows of a table of ids that are handed to all tasks; a larger one is shuffled.
+BROADCAST_ROWS = 250_000
+
+
+def restricted(df: DataFrame, some: DataFrame, on: str) -> DataFrame:
+    """``df`` joined with the stored table ``some`` of its rows' keys and little else.
+
+    Counted first: a small one is broadcast, which leaves ``df`` where it is.
+    """
+    few = some.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return df.join(F.broadcast(some) if few else some, on)
+
+
 def pieces(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``PIECE_BYTES`` in a text column, one row at least."""
     start, held = 0, 0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     hilbert_shards,
     language_kernel,
+    line_dedup,
     phrase_index,
     quality_votes,
     rare_digest,
@@ -58,6 +59,11 @@ def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
     return quality_votes.score_quality(docs, model, keep=(held_out,))
 
 
+def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of each document, and which of them repeat an earlier line of any document."""
+    return line_dedup.line_counts(documents(configure(spark), folder))
+
+
 def op7_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
     """Words of each document that lie in a passage of ten words of the benchmark."""
     docs = documents(configure(spark), folder)
@@ -120,6 +126,7 @@ QUERIES: dict[str, Query] = {
         op3_token_files,
         op4_sentence_pieces,
         op5_quality_votes,
+        op6_line_dedup,
         op7_phrase_index,
         op8_rare_digest,
         op9_hilbert_shards,

@@ -31,7 +31,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import restricted, ship
 from tidemark.llm.components import components, stored
 from tidemark.llm.shingles import blocks, mix, shingle_sets
 
@@ -194,8 +194,8 @@ def near_duplicates(
     stars = shared.filter("id <> low").select(F.col("low").alias("u"), F.col("id").alias("v"), "n")
     stars = stars.distinct().join(sizes.withColumnRenamed("id", "u"), "u")
     stars = stored(stars.filter(alike("n", "n_low")).select("u", "v").distinct(), "pairs")
-    in_pairs = shared.select("id").distinct()
-    texts = source.filter("id is not null").join(in_pairs, "id").select(
+    in_pairs = stored(shared.select("id").distinct(), "in_pairs")
+    texts = restricted(source.filter("id is not null"), in_pairs, "id").select(
         "id", F.col("text").cast("binary").alias("text")
     )
     texts = stored(texts.distinct(), "texts")
