@@ -27,9 +27,15 @@ from tidemark.llm.common import Memo, pieces, ship, vocabulary
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 # Words kept with their ids in a Python worker, so that memory stays bounded.
-CACHED = 150_000
-# No word of the vocabulary goes over a space or a line end.
-WORD = re.compile("[^ \n]+")
+CACHED = 250_000
+# No token goes over a space or a line end, nor from a letter to one of these signs.
+# The letters are those that normalisation keeps as one letter.
+WORD = re.compile(
+    r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+(?=[.,;:!?%&*#$|])|[^ \n]+"
+)
+# Lower case is part of the vocabulary's normalisation. Up to here Python's is the
+# same, unless it would make a special token.
+OTHER = re.compile("[^\x00-\u024f]|<\\|")
 
 FILE_OPTIONS = {
     "compression": "zstd",
@@ -54,6 +60,8 @@ class Encoder:
         return np.array(ids, "<i4").tobytes()
 
     def encode(self, text: str) -> bytes:
+        if not OTHER.search(text):
+            text = text.lower()
         return b"".join(map(self.of_word.__getitem__, WORD.findall(text)))
 
 
