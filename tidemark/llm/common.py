@@ -48,16 +48,21 @@ def ship(application: str) -> None:
     SparkContext._active_spark_context.addPyFile(_package())
 
 
-def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The table ``documents`` of a folder, in Arrow batches of ``BATCH_ROWS`` rows.
+def prepared(spark: SparkSession) -> SparkSession:
+    """``spark`` with Arrow batches of ``BATCH_ROWS`` rows and the package at its workers.
 
     Shuffle files of a query are removed when it ends, as what the next step
     needs of it is written to the scratch folder.
     """
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     ship(spark.sparkContext.applicationId)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    return spark.read.parquet(f"{folder}/documents.parquet")
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return spark
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    """The table ``documents`` of a folder."""
+    return prepared(spark).read.parquet(f"{folder}/documents.parquet")
 
 
 def vocabulary(name: str) -> str:
@@ -105,8 +110,17 @@ def restricted(df: DataFrame, some: DataFrame, on: str) -> DataFrame:
 
     Counted first: a small one is broadcast, which leaves ``df`` where it is.
     """
+    return df.join(_marked(some), on)
+
+
+def without(df: DataFrame, some: DataFrame, on: str) -> DataFrame:
+    """``df`` without the rows whose key is in the stored table ``some``; null keys stay."""
+    return df.join(_marked(some), on, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _marked(some: DataFrame) -> DataFrame:
     few = some.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return df.join(F.broadcast(some) if few else some, on)
+    return F.broadcast(some) if few else some
 
 
 def pieces(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
