@@ -15,6 +15,7 @@ from tidemark.llm import (
     quality_votes,
     rare_digest,
     sentence_pieces,
+    sql,
     tensor_minhash,
     token_count,
     token_files,
@@ -61,7 +62,8 @@ def op5_quality_votes(spark: SparkSession, folder: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Lines of each document, and which of them repeat an earlier line of any document."""
-    return line_dedup.line_counts(documents(configure(spark), folder))
+    counted = line_dedup.line_counts(documents(configure(spark), folder))
+    return counted.withColumn("removed", F.array_join("removed", ","))
 
 
 def op7_phrase_index(spark: SparkSession, folder: str) -> DataFrame:
@@ -134,4 +136,8 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": sql.LINES,
+    "op7_phrase_index": sql.PHRASES,
+    "op10_tensor_minhash": sql.NEAR_DUPLICATES,
+}
