@@ -150,8 +150,8 @@ def per_text(
     array for each of ``fields``. It runs inside the tasks, without a shuffle.
     """
     ship(df.sparkSession.sparkContext.applicationId)
-    source = df.select(id_column, F.coalesce(text_column, F.lit("")).alias("text"), *keep)
-    own = [f for f in source.schema.fields if f.name != "text"]
+    source = df.select(id_column, F.coalesce(text_column, F.lit("")).alias("tm_source"), *keep)
+    own = [f for f in source.schema.fields if f.name != "tm_source"]
     schema = StructType([*own, *fields])
     arrow = to_arrow_schema(schema)
 

@@ -81,8 +81,8 @@ class QualityModel:
         near = self.latent(rows) @ self.vectors.T
         k = min(NEIGHBOURS, near.shape[1])
         top = np.argpartition(near, -k, axis=1)[:, -k:]
-        weight = np.maximum(np.take_along_axis(near, top, axis=1), 1e-6) ** POWER
-        return (weight * self.labels[top]).sum(axis=1) / weight.sum(axis=1)
+        weight = np.maximum(np.take_along_axis(near, top, axis=1), 1e-6).astype(np.float64) ** POWER
+        return np.clip((weight * self.labels[top]).sum(axis=1) / weight.sum(axis=1), 0, 1)
 
 
 def leading(rows: np.ndarray, dimensions: int) -> np.ndarray:
