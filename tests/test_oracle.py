@@ -16,8 +16,8 @@ TYPES = {
     "date": "DATE",
     "string": "VARCHAR",
 }
-QUERIES = entry.queries()
-SQL = entry.oracle_sql()
+QUERIES = {n: q for n, q in entry.queries().items() if n not in entry.EXTRA}
+SQL = {n: q for n, q in entry.oracle_sql().items() if n not in entry.EXTRA}
 
 
 @pytest.fixture(scope="module")
