@@ -6,9 +6,11 @@ rows need only ``2 * m`` groups of minhashes. Documents that meet in a table are
 candidates; a link needs the exact Jaccard similarity of the full shingle sets.
 
 Documents of one shingle set are one class from the start. Of the classes that
-meet in a table each is first compared with the smallest only; what this leaves
-in different components is then compared with every class of another component
-in the table, so no link is lost by it and copies do not become pairs.
+meet in a table each is first compared with the one of the smallest id, then,
+if the table still holds several components, with one drawn for the table. What
+this leaves in different components is compared with every class of another
+component in the table, so no link is lost and copies do not become pairs. Sizes
+and parity maps rule out most pairs that cannot be similar before that.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (
@@ -35,7 +37,9 @@ from tidemark.llm.common import restricted, ship
 from tidemark.llm.components import components, stored
 from tidemark.llm.shingles import blocks, mix, shingle_sets
 
-GROUP = 2  # minhashes of a group; a key has twice as many
+GROUP = 3  # minhashes of a group; a key has twice as many
+MAP_BITS = 512  # of the parity map of a set, in which each shingle flips a bit
+PARTS = [f"p{i}" for i in range(MAP_BITS // 64)]
 MISSED = 1e-4  # most that a pair at the threshold may be missed, all tables together
 
 
@@ -64,10 +68,22 @@ def table_keys(values: np.ndarray, ends: np.ndarray, groups: int) -> np.ndarray:
     return mix(mix(left + place) + right).reshape(len(ends), groups * groups)
 
 
+def parity_maps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For each set, ``MAP_BITS`` bits as 64-bit numbers.
+
+    Two maps differ in at most as many bits as the sets differ in shingles.
+    """
+    owner = np.repeat(np.arange(len(ends)), np.diff(np.concatenate([[0], ends])))
+    at = (mix(values) & np.uint64(MAP_BITS - 1)).astype(np.int64)
+    flips = np.bincount(owner * MAP_BITS + at, minlength=len(ends) * MAP_BITS) & 1
+    packed = np.packbits(flips.astype(bool).reshape(-1, MAP_BITS), axis=1)
+    return packed.view(np.int64).reshape(len(ends), MAP_BITS // 64)
+
+
 def signatures(
     df: DataFrame, *, shingle: int, groups: int, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """Columns id, n (size of the set), digest (of the set), keys; no keys for an empty set."""
+    """Columns id, n (size of the set), digest (of the set), keys, parity map; no keys if empty."""
     ship(df.sparkSession.sparkContext.applicationId)
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).cast("binary").alias("text"))
     schema = StructType(
@@ -76,6 +92,7 @@ def signatures(
             StructField("n", LongType()),
             StructField("digest", BinaryType()),
             StructField("keys", ArrayType(LongType())),
+            *[StructField(p, LongType()) for p in PARTS],
         ]
     )
     arrow = to_arrow_schema(schema)
@@ -102,6 +119,7 @@ def signatures(
                     pa.array(keys.reshape(-1).view(np.int64)),
                     type=arrow.field("keys").type,
                 ),
+                *[pa.array(np.ascontiguousarray(m)) for m in parity_maps(values, ends).T],
             ],
             schema=arrow,
         )
@@ -152,6 +170,29 @@ def verified(pairs: DataFrame, texts: DataFrame, *, shingle: int, percent: int)
     return held.mapInArrow(run, schema).filter("linked").select("u", "v").distinct()
 
 
+def _possible(percent: int) -> Column:
+    """Whether sizes and parity maps (``_l`` and ``_r``) allow the similarity."""
+    n_l, n_r = F.col("n_l"), F.col("n_r")
+    needed = F.ceil(percent * (n_l + n_r) / (100 + percent))
+    apart = [F.bit_count(F.col(f"{p}_l").bitwiseXOR(F.col(f"{p}_r"))) for p in PARTS]
+    return (100 * F.least(n_l, n_r) >= percent * F.greatest(n_l, n_r)) & (
+        sum(apart[1:], apart[0]) <= n_l + n_r - 2 * needed
+    )
+
+
+def _apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
+    """Rows (key, id, component) of the tables that hold several components, stored."""
+    labelled = shared.join(joined, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component")
+    )
+    labelled = stored(labelled, "labelled")
+    mixed = labelled.groupBy("key").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    mixed = mixed.filter("least < most").select("key")
+    return stored(labelled.join(mixed, "key", "left_semi"), "apart")
+
+
 def near_duplicates(
     df: DataFrame,
     *,
@@ -177,53 +218,53 @@ def near_duplicates(
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     signed = stored(signatures(source, shingle=shingle, groups=groups, id_column="id"), "signed")
     linkable = signed.filter("n > 0 and id is not null")
-    classes = stored(
-        linkable.groupBy("digest").agg(F.min("id").alias("rep")), "classes"
-    )
+    classes = stored(linkable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     heads = linkable.join(classes, "digest").filter("id = rep").dropDuplicates(["digest"])
-    heads = stored(heads.select("id", "n", "keys"), "heads")
-    in_tables = heads.select("id", "n", F.explode("keys").alias("key"))
+    heads = stored(heads.drop("digest", "rep"), "heads")
+    in_tables = heads.select("id", F.explode("keys").alias("key"))
     met = in_tables.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     met = met.filter("low < high").select("key", "low")
-    shared = stored(in_tables.join(met, "key").select("key", "id", "n", "low"), "shared")
+    shared = stored(in_tables.join(met, "key"), "shared")
+    sets = heads.select("id", "n", *PARTS)
+    possible = _possible(percent)
 
-    def alike(left: str, right: str) -> str:
-        return f"100 * least({left}, {right}) >= {percent} * greatest({left}, {right})"
+    def named(frame: DataFrame, side: str, *whole: str) -> DataFrame:
+        return frame.select(*whole, *[F.col(c).alias(f"{c}_{side}") for c in frame.columns if c not in whole])
 
-    sizes = heads.select("id", F.col("n").alias("n_low"))
-    stars = shared.filter("id <> low").select(F.col("low").alias("u"), F.col("id").alias("v"), "n")
-    stars = stars.distinct().join(sizes.withColumnRenamed("id", "u"), "u")
-    stars = stored(stars.filter(alike("n", "n_low")).select("u", "v").distinct(), "pairs")
+    left, right = named(sets, "l"), named(sets, "r")
+    stars = shared.filter("id <> low").select(F.col("low").alias("id_l"), F.col("id").alias("id_r"))
+    stars = stars.distinct().join(left, "id_l").join(right, "id_r").filter(possible)
+    done = stored(stars.select(F.col("id_l").alias("u"), F.col("id_r").alias("v")).distinct(), "pairs")
     in_pairs = stored(shared.select("id").distinct(), "in_pairs")
     texts = restricted(source.filter("id is not null"), in_pairs, "id").select(
         "id", F.col("text").cast("binary").alias("text")
     )
     texts = stored(texts.distinct(), "texts")
-    links = stored(verified(stars, texts, shingle=shingle, percent=percent), "links")
+    links = stored(verified(done, texts, shingle=shingle, percent=percent), "links")
     joined = stored(components(links), "components")
-    # What still meets in a table from different components, each pair once.
-    labelled = shared.join(joined, "id", "left").select(
-        "key", "id", "n", F.coalesce("component", "id").alias("component")
-    )
-    labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
-    )
-    mixed = mixed.filter("least < most").select("key")
-    apart = stored(labelled.join(mixed, "key", "left_semi"), "apart")
-    left = apart.select("key", *[F.col(c).alias(f"{c}_u") for c in ("id", "n", "component")])
-    right = apart.select("key", *[F.col(c).alias(f"{c}_v") for c in ("id", "n", "component")])
-    rest = left.join(right, "key").filter(
-        f"id_u < id_v and component_u <> component_v and {alike('n_u', 'n_v')}"
-    )
-    rest = rest.select(F.col("id_u").alias("u"), F.col("id_v").alias("v")).distinct()
-    rest = rest.join(stars, ["u", "v"], "left_anti")
-    more = stored(verified(rest, texts, shingle=shingle, percent=percent), "links")
-    if more.limit(1).count():
-        joined = stored(components(links.union(more)), "components")
+    apart = _apart(shared.select("key", "id"), joined)
+    for exhaustive in (False, True):
+        members = apart.join(sets, "id")
+        if exhaustive:
+            others = members
+        else:
+            drawn = F.struct(F.xxhash64("key", "id"), *[c for c in members.columns if c != "key"])
+            others = members.groupBy("key").agg(F.min(drawn).alias("d"))
+            others = others.select("key", *[F.col(f"d.{c}") for c in members.columns if c != "key"])
+        met = named(members, "l", "key").join(named(others, "r", "key"), "key")
+        order = F.col("id_l") < F.col("id_r") if exhaustive else F.col("id_l") != F.col("id_r")
+        met = met.filter(order & (F.col("component_l") != F.col("component_r")) & possible)
+        u, v = F.least("id_l", "id_r").alias("u"), F.greatest("id_l", "id_r").alias("v")
+        pairs = stored(met.select(u, v).distinct().join(done, ["u", "v"], "left_anti"), "pairs")
+        more = stored(verified(pairs, texts, shingle=shingle, percent=percent), "links")
+        if more.limit(1).count():
+            links = links.union(more)
+            joined = stored(components(links), "components")
+            apart = _apart(apart.select("key", "id"), joined)
+        done = done.union(pairs)
     component = F.coalesce("component", "rep", "id")
     return (
-        signed.drop("keys")
+        signed.select("id", "n", "digest")
         .join(classes.select("digest", "rep"), "digest", "left")
         .withColumn("rep", F.when(F.col("n") > 0, F.col("rep")))
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
