@@ -8,8 +8,8 @@ from 64-bit parity maps of the sets, and what remains is verified by the exact
 Jaccard similarity of the words. A line is removed if any earlier line matches.
 
 Copies with small edits form groups in which all match all. Each class is
-therefore first compared with the earliest that shares one of its two rarest
-tokens; only classes this leaves are joined with all others.
+therefore first compared with the earliest that has its rarest token in its
+prefix's first place; only classes this leaves are joined with all others.
 """
 
 from __future__ import annotations
@@ -38,7 +38,9 @@ from tidemark.llm.shingles import blocks, mix, word_hashes
 PERCENT = 80
 COUNT_BITS = 17  # token counts are kept by this many bits of the hash
 RANK_BITS = 12
-FIRST_ROUND = 2  # rarest tokens of the first comparison
+FIRST_ROUND = 1  # rarest tokens of the first comparison
+LONG = 80  # tokens from which on a parity map has 256 bits instead of 64
+MAPS = [f"m{i}" for i in range(4)]
 NO_ID = -(1 << 63)  # stands for a null id, before all others
 
 
@@ -86,10 +88,11 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
-    """One row (id, line, n, d1, d2, parity, prefix) for each line with words.
+    """One row (id, line, n, d1, d2, m0 to m3, prefix) for each line with words.
 
     ``d1`` and ``d2`` identify the token set, ``prefix`` holds its rarest tokens
-    as 32-bit hashes in order, ``parity`` has a bit flipped for each token.
+    as 32-bit hashes in order. Each token flips a bit of the parity map, of
+    which a short line has the first part only.
     """
     schema = StructType(
         [
@@ -98,7 +101,7 @@ def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
             StructField("n", IntegerType()),
             StructField("d1", LongType()),
             StructField("d2", LongType()),
-            StructField("parity", LongType()),
+            *[StructField(m, LongType()) for m in MAPS],
             StructField("prefix", ArrayType(IntegerType())),
         ]
     )
@@ -127,9 +130,15 @@ def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
             d1 = np.add.reduceat(mixed, first)
             d2 = np.add.reduceat(mix(mixed + np.uint64(1)), first)
             bit = np.uint64(1) << (mixed & np.uint64(63))
-            parity = np.bitwise_xor.reduceat(bit, first)
+            part = (mixed >> np.uint64(6)) & np.uint64(3)
+            part[np.repeat(n < LONG, n)] = 0
+            maps = [
+                np.bitwise_xor.reduceat(np.where(part == i, bit, np.uint64(0)), first)
+                for i in range(len(MAPS))
+            ]
         else:
-            d1 = d2 = parity = np.empty(0, np.uint64)
+            d1 = d2 = np.empty(0, np.uint64)
+            maps = [d1] * len(MAPS)
         sizes = prefix_size(n, percent)
         ends = np.cumsum(sizes)
         within = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - sizes, sizes)
@@ -145,7 +154,7 @@ def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
                 pa.array(n.astype(np.int32)),
                 pa.array(d1.view(np.int64)),
                 pa.array(d2.view(np.int64)),
-                pa.array(parity.view(np.int64)),
+                *[pa.array(m.view(np.int64)) for m in maps],
                 pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], ends]).astype(np.int32)),
                     pa.array(prefix.view(np.int32)),
@@ -172,7 +181,10 @@ def _needed(percent: int) -> Column:
 def _may_match(percent: int) -> Column:
     """Length filter and bound from the parity maps: different tokens flip different bits."""
     smaller, larger = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
-    apart = F.bit_count(F.col("l_parity").bitwiseXOR(F.col("r_parity")))
+    both = [F.col(f"l_{m}").bitwiseXOR(F.col(f"r_{m}")) for m in MAPS]
+    counted = [F.bit_count(b) for b in both]
+    whole = both[0].bitwiseXOR(both[1]).bitwiseXOR(both[2]).bitwiseXOR(both[3])
+    apart = F.when(smaller >= LONG, sum(counted[1:], counted[0])).otherwise(F.bit_count(whole))
     return (100 * smaller >= percent * larger) & (
         apart <= F.col("l_n") + F.col("r_n") - 2 * _needed(percent)
     )
@@ -259,16 +271,17 @@ def removed_lines(
     """
     source = _source(df, id_column, text_column)
     lines = stored(line_sets(source, token_ranks(source), percent), "line_sets")
-    payload = F.struct("id", "line", "n", "parity", "prefix")
+    payload = F.struct("id", "line", "n", *MAPS, "prefix")
     classes = lines.groupBy("d1", "d2").agg(F.min(payload).alias("first"))
     classes = stored(classes.select("d1", "d2", "first.*"), "classes")
 
+    own = ("id", "line", "n", *MAPS)
+
     def postings(frame: DataFrame, most: int | None = None, *more: str) -> DataFrame:
         prefix = F.col("prefix") if most is None else F.slice("prefix", 1, most)
-        exploded = frame.select("id", "line", "n", "parity", *more, F.posexplode(prefix))
+        exploded = frame.select(*own, *more, F.posexplode(prefix))
         return exploded.withColumnsRenamed({"pos": "at", "col": "token"})
 
-    own = ("id", "line", "n", "parity")
     rare = postings(classes, FIRST_ROUND)
     lowest = rare.groupBy("token").agg(F.min(F.struct(*own)).alias("f")).select("token", "f.*")
     near = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
@@ -282,8 +295,8 @@ def removed_lines(
         .withColumn("done", F.lit(1)),
         "done",
     )
-    marked = stored(classes.join(done, ["id", "line"], "left"), "marked")
-    every = postings(marked.filter("size(prefix) > 0"), None, "done")
+    marked = classes.filter("size(prefix) > 0").join(done, ["id", "line"], "left")
+    every = postings(marked, None, "done")
     columns = (*own, "at", "done")
     # Both marks are in the condition, so both sides are one shuffle.
     open_ = F.coalesce("l_done", F.lit(0)) + 0 * F.coalesce("r_done", F.lit(0)) == 0
