@@ -23,6 +23,7 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, Str
 from tokenizers import Tokenizer
 
 from tidemark.llm.common import Memo, pieces, ship, vocabulary
+from tidemark.llm.token_count import byte_symbols
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
@@ -48,15 +49,32 @@ FILE_OPTIONS = {
 }
 
 
+# Lower-case letters alone: nothing to normalise or to split.
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f]+")
+
+
 class Encoder:
-    """Ids of whole texts, each word encoded once by the library and remembered."""
+    """Ids of whole texts, each word encoded once by the library and remembered.
+
+    A word of lower-case letters goes to the library's model at once, as the
+    characters of its bytes; any other through normalisation and splitting.
+    """
 
     def __init__(self, path: str):
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
+        symbols = byte_symbols()
+        self.bytes_of = {
+            n: "".join(symbols[b] for b in chr(n).encode()) for n in range(0x80, 0x250)
+        }
         self.of_word = Memo(self._word, CACHED)
 
     def _word(self, word: str) -> bytes:
-        ids = self.library.encode(word, add_special_tokens=False).ids
+        if PLAIN.fullmatch(word) and word == word.lower():
+            shown = word if word.isascii() else word.translate(self.bytes_of)
+            ids = [token.id for token in self.model.tokenize(shown)]
+        else:
+            ids = self.library.encode(word, add_special_tokens=False).ids
         return np.array(ids, "<i4").tobytes()
 
     def encode(self, text: str) -> bytes:
