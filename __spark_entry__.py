@@ -125,6 +125,42 @@ def _dq_profile_raw(spark: SparkSession, folder: str) -> DataFrame:
     return op.profile({"dept_emp": raw})
 
 
+def _assignments_as_text(spark: SparkSession, folder: str, emp_no) -> DataFrame:
+    return staffing.assignments(spark, folder).select(
+        emp_no.alias("emp_no"),
+        "dept_no",
+        F.col("from_date").cast("timestamp").alias("from_date"),
+        F.lit(OPEN_END).alias("to_date"),
+    )
+
+
+def _dq_removed_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Keys that are equal only after the cast: rows in, rows kept, and what the profile counts."""
+    zero = F.when(F.col("o_orderkey") % 2 == 0, "0").otherwise("")
+    raw = {"dept_emp": _assignments_as_text(spark, folder, F.concat(zero, F.col("emp_no")))}
+    counted = op.profile(raw).filter("check in ('rows', 'surplus_rows')").select("check", "value")
+    kept = op.clean(raw)["dept_emp"].agg(F.lit("kept"), F.count(F.lit(1)))
+    return counted.union(kept).agg(
+        *[
+            F.max(F.when(F.col("check") == check, F.col("value"))).alias(name)
+            for check, name in (("rows", "rows_in"), ("kept", "rows_kept"), ("surplus_rows",) * 2)
+        ]
+    )
+
+
+def _dq_type_mismatch(spark: SparkSession, folder: str) -> DataFrame:
+    """Full types of the columns that differ, and how many values no cast can save."""
+    bad = F.when(F.col("o_orderkey") % 7 == 0, "x").otherwise("")
+    raw = {"dept_emp": _assignments_as_text(spark, folder, F.concat(F.col("emp_no"), bad))}
+    return op.profile(raw).filter("check in ('type_mismatch', 'cast_failures')")
+
+
+def _master_keep_equal(spark: SparkSession, t: Tables) -> DataFrame:
+    """All titles taken as open: some employees have several, equal and unequal ones."""
+    open_titles = t["titles"].withColumn("to_date", F.lit(OPEN_END))
+    return plans.employee_master(*[(t | {"titles": open_titles})[n] for n in MASTER], keep_equal=True)
+
+
 def _master(t: Tables) -> DataFrame:
     return plans.employee_master(*[t[n] for n in MASTER])
 
@@ -176,6 +212,7 @@ OF_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     ),
     "job_hoppers": _report(plans.job_hoppers, "dept_emp", "employees"),
     "employee_master": _report(plans.employee_master, *MASTER),
+    "employee_master_keep_equal": _master_keep_equal,
     "employee_changes": _report(plans.employee_changes, *CHANGED),
     "previous_month_changes": _previous_month_changes,
     "interval_overlap_strict": _overlap_strict,
@@ -217,6 +254,8 @@ OF_ORDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "dq_clean": _dq_clean,
     "dq_profile_raw": _dq_profile_raw,
+    "dq_removed_rows": _dq_removed_rows,
+    "dq_type_mismatch": _dq_type_mismatch,
 }
 
 

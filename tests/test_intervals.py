@@ -13,9 +13,11 @@ from tidemark.operators import (
     closed_rows,
     current_rows,
     heavy_keys,
+    heavy_slots,
     overlap_join,
     point_in_interval_join,
 )
+from tidemark.operators.skew import slot_of
 
 DAY_ZERO = date(1985, 1, 1)
 
@@ -60,11 +62,12 @@ def test_overlap_join_equals_brute_force(spark, strict, split):
     left, right = random_history(1, 300, 12, 1000), random_history(2, 150, 12, 5000)
     l, r = frame(spark, left, "a"), frame(spark, right, "b")
     heavy = {
-        "none": [],
-        "some": heavy_keys([r], ["k"], min_rows=40),
-        "all": heavy_keys([l, r], ["k"], min_rows=0),
+        "none": False,
+        "some": heavy_slots([r], ["k"], min_rows=40),
+        "all": heavy_slots([r], ["k"], min_rows=0),
     }[split]
-    assert len(heavy) == {"none": 0, "some": 1, "all": 12}[split]
+    if heavy:
+        assert heavy.count() == {"some": 1, "all": r.select("k").distinct().dropna().count()}[split]
     pairs = overlap_join(l, r, "k", strict=strict, heavy=heavy)
     got = rows(pairs.select("k", "a", "b", "overlap_start", "overlap_end", "overlap_days"))
     assert got == brute_overlap(left, right, strict)
@@ -75,7 +78,7 @@ def test_overlap_join_on_two_columns(spark):
     left, right = random_history(8, 200, 6, 1000), random_history(9, 100, 6, 5000)
     l = frame(spark, left, "a").withColumn("j", F.col("a") % 2)
     r = frame(spark, right, "b").withColumn("j", F.col("b") % 2)
-    for heavy in ([], heavy_keys([r], ["k", "j"], min_rows=0)):
+    for heavy in (False, heavy_slots([r], ["k", "j"], min_rows=3)):
         got = rows(
             overlap_join(l, r, ["k", "j"], heavy=heavy).select(
                 "k", "a", "b", "overlap_start", "overlap_end", "overlap_days"
@@ -90,7 +93,7 @@ def test_point_in_interval_join_equals_brute_force(spark, split):
     points, history = random_history(3, 300, 10, 1000), random_history(4, 150, 10, 5000)
     p = frame(spark, points, "a").select("k", "a", F.col("from_date").alias("at"))
     h = frame(spark, history, "b")
-    heavy = heavy_keys([h], ["k"], min_rows=0) if split else []
+    heavy = heavy_slots([h], ["k"], min_rows=2) if split else False
     got = rows(point_in_interval_join(p, h, "k", "at", heavy=heavy).select("k", "a", "b"))
     want = sorted(
         (
@@ -109,7 +112,8 @@ def test_chain_of_point_joins_shares_slots(spark):
     p = frame(spark, points, "a").select("k", "a", F.col("from_date").alias("at"))
     results = []
     for min_rows in (0, 10**6):
-        heavy = heavy_keys([frame(spark, h1, "b")], ["k"], min_rows=min_rows)
+        heavy = heavy_slots([frame(spark, h1, "b")], ["k"], min_rows=min_rows)
+        heavy = False if heavy is None else heavy
         one = point_in_interval_join(
             p, frame(spark, h1, "b"), "k", "at", heavy=heavy, keep_slot=True
         )
@@ -124,9 +128,9 @@ def pair_counts(spark, a, b):
     r = spark.createDataFrame([(1, *map(day, b))], "k int, from_date date, to_date date")
     p = l.select("k", F.col("from_date").alias("at"))
     return (
-        overlap_join(l, r, "k", heavy=[]).count(),
-        overlap_join(l, r, "k", strict=False, heavy=[]).count(),
-        point_in_interval_join(p, r, "k", "at", heavy=[]).count(),
+        overlap_join(l, r, "k", heavy=False).count(),
+        overlap_join(l, r, "k", strict=False, heavy=False).count(),
+        point_in_interval_join(p, r, "k", "at", heavy=False).count(),
     )
 
 
@@ -153,9 +157,37 @@ def test_key_types_must_agree(spark):
 
 def test_heavy_keys_finds_the_hot_one_only(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
-    hashes = df.filter("k = 7").select(F.xxhash64("k")).first()
-    assert heavy_keys([df], ["k"]) == [hashes[0]]
-    assert heavy_keys([df], ["k"], min_rows=10_000) == []
+    assert [r.k for r in heavy_keys([df], ["k"]).collect()] == [7]
+    assert heavy_keys([df], ["k"], min_rows=10_000) is None
+
+
+def test_any_number_of_heavy_keys_is_split(spark):
+    df = spark.range(30_000).select((F.col("id") % 10_000).alias("k"), F.lit(1).alias("v"))
+    assert heavy_keys([df], ["k"], min_rows=2).count() == 10_000
+
+
+@pytest.mark.parametrize("first_year, years", [(1700, 30), (1985, 18), (2010, 14), (2023, 1)])
+def test_slots_hold_few_rows_in_any_years(spark, first_year, years):
+    start = date(first_year, 1, 1)
+    days = spark.range(2_000).select(
+        F.lit(1).alias("k"),
+        F.date_add(F.lit(start), (F.col("id") * (365 * years) / 2_000).cast("int")).alias("from_date"),
+    )
+    slots = days.join(heavy_slots([days], ["k"], min_rows=50), "k")
+    counts = slots.groupBy(slot_of(F.col("from_date")).alias("slot")).count().collect()
+    assert len(counts) >= 30 and max(r["count"] for r in counts) <= 50 + 2_000 // 365 + 1
+    assert min(r["slot"] for r in counts) == 1
+
+
+def test_hot_key_is_never_compared_with_all(spark):
+    """Both sides of a key in one year: the join looks at a slot's rows only."""
+    left = random_history(31, 400, 1, 1000)
+    right = random_history(32, 400, 1, 5000)
+    l, r = frame(spark, left, "a"), frame(spark, right, "b")
+    heavy = heavy_slots([r], ["k"], min_rows=10)
+    pairs = overlap_join(l, r, "k", heavy=heavy)
+    got = rows(pairs.select("k", "a", "b", "overlap_start", "overlap_end", "overlap_days"))
+    assert got == brute_overlap(left, right, True) and got
 
 
 def test_open_and_closed_rows(spark):

@@ -1,6 +1,7 @@
 """Checks and repairs on broken tables."""
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from frames import OPEN, day, departments, rows, table
@@ -59,8 +60,8 @@ def test_types(spark):
         "emp_no string, salary string, from_date date, extra string",
     )
     assert type_diff(df, PAY) == [
-        {"column": "emp_no", "current_type": "string", "expected_type": "int"},
-        {"column": "salary", "current_type": "string", "expected_type": "int"},
+        ("emp_no", "string", "int"),
+        ("salary", "string", "int"),
     ]
     lenient = cast_to(df, PAY, strict=False)
     assert lenient.columns == df.columns
@@ -75,8 +76,9 @@ def test_types(spark):
 def test_profile(spark):
     text = departments(spark, "d1").selectExpr("dept_no", "cast(1 as int) as dept_name")
     found = profile({"salaries": broken(spark), "departments": text, "other": spark.range(3)})
-    assert found.columns == ["table", "check", "column", "value"]
-    assert rows(found) == sorted(
+    assert found.columns == ["table", "check", "column", "value", "detail"]
+    assert found.filter("detail is not null").first()["detail"] == "int, declared string"
+    assert rows(found.drop("detail")) == sorted(
         [
             ("salaries", "rows", "*", 8),
             ("salaries", "nulls", "emp_no", 0),
@@ -90,6 +92,7 @@ def test_profile(spark):
             ("departments", "nulls", "dept_no", 0),
             ("departments", "nulls", "dept_name", 0),
             ("departments", "type_mismatch", "dept_name", 1),
+            ("departments", "cast_failures", "dept_name", 0),
             ("departments", "duplicate_keys", "dept_no", 0),
             ("departments", "surplus_rows", "dept_no", 0),
             ("other", "rows", "*", 3),
@@ -108,3 +111,14 @@ def test_clean_leaves_the_input_alone(spark):
     assert cleaned["salaries"].count() == 5
     assert cleaned["salaries"].filter("emp_no = 3").first().salary == 0
     assert cleaned["other"].count() == 3
+
+
+def test_profile_counts_what_clean_removes(spark):
+    raw = spark.createDataFrame(
+        [("1", 5, "2000-01-01"), ("01", 6, "2000-01-01"), (None, 7, "2000-01-01")],
+        "emp_no string, salary int, from_date string",
+    ).withColumn("to_date", F.col("from_date").cast("date"))
+    found = {r["check"]: r["value"] for r in profile({"salaries": raw}).collect()}
+    assert found["surplus_rows"] == found["rows"] - clean({"salaries": raw})["salaries"].count() == 1
+    empty = {r["check"]: r["value"] for r in profile({"salaries": raw.limit(0)}).collect()}
+    assert empty["rows"] == empty["surplus_rows"] == empty["duplicate_keys"] == 0

@@ -80,8 +80,10 @@ def test_salary_trends_with_heavy_keys_split(spark, monkeypatch):
     titles = table(spark, "titles", (1, "t", "1985-01-01", "1990-01-01"), (1, "u", "1990-01-01", OPEN))
     args = salaries, employees(spark, 1), stays, departments(spark, "d1", "d2"), titles
     whole = rows(plans.salary_trends(*args))
-    found = reports.heavy_keys
-    monkeypatch.setattr(reports, "heavy_keys", lambda frames, keys: found(frames, keys, 0))
+    found = reports.heavy_slots
+    monkeypatch.setattr(
+        reports, "heavy_slots", lambda frames, keys: found(frames, keys, min_rows=1)
+    )
     assert rows(plans.salary_trends(*args)) == whole
     assert len(whole) == 19
 
@@ -227,3 +229,13 @@ def test_changes_need_a_period(spark, period):
     empty = [table(spark, n) for n in ("dept_emp", "titles", "salaries", "dept_manager", "departments")]
     with pytest.raises(ValueError):
         plans.employee_changes(people, *empty, *period)
+
+
+def test_master_without_a_latest_value(spark):
+    stays = table(spark, "dept_emp", (1, "d1", "1990-01-01", OPEN), (2, "d1", "1990-01-01", OPEN))
+    titles = table(spark, "titles", (1, None, "1995-01-01", OPEN), (1, "t", "1990-01-01", OPEN))
+    titles = titles.union(table(spark, "titles", (2, "t", "1990-01-01", OPEN)))
+    pay = table(spark, "salaries", (1, 10, "1990-01-01", OPEN), (2, 10, "1990-01-01", OPEN))
+    args = employees(spark, 1, 2), stays, titles, pay, departments(spark, "d1")
+    for keep_equal in (False, True):
+        assert [r.emp_no for r in plans.employee_master(*args, keep_equal=keep_equal).collect()] == [2]

@@ -5,7 +5,6 @@ from tidemark.functions.dates import (
     is_open,
     later_of,
     previous_month,
-    year_slot,
 )
 from tidemark.functions.values import full_name, rounded_ratio, row_count
 
@@ -19,5 +18,4 @@ __all__ = [
     "previous_month",
     "rounded_ratio",
     "row_count",
-    "year_slot",
 ]

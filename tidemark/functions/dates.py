@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from tidemark.model import OPEN_END
 
-# Years outside this range share the first or last slot.
-FIRST_SLOT = 1900
-
 
 def as_day(value: date | str | Column) -> Column:
     """Typed date column from a date, an ISO string or a date column.
@@ -53,11 +50,3 @@ def previous_month(day: date | str | Column) -> tuple[Column, Column]:
     month_ago = F.add_months(as_day(day), -1)
     return F.trunc(month_ago, "MM"), F.last_day(month_ago)
 
-
-def year_slot(day: Column, last: int) -> Column:
-    """Calendar year of ``day``, clamped to FIRST_SLOT..last.
-
-    The function never decreases with the date. So if two intervals overlap,
-    both cover the slot in which their overlap starts.
-    """
-    return F.greatest(F.lit(FIRST_SLOT), F.least(F.lit(last), F.year(day)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,12 +16,20 @@ def full_name(first: str = "first_name", last: str = "last_name") -> Column:
 def rounded_ratio(numerator: Column, denominator: Column, scale: int) -> Column:
     """``numerator / denominator`` rounded half up, null for a zero denominator.
 
-    Both are whole numbers. They are divided once and as decimals, so the
-    result does not depend on the order in which partial sums were added.
+    Both are whole numbers. The quotient is rounded in whole numbers, away from
+    zero where it lies in the middle, so no digits are cut off first. A quotient
+    that is too large for a double to tell its last place is divided as double.
     """
-    whole = numerator.cast("decimal(28,0)")
-    parts = F.nullif(denominator.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
-    return F.round(whole / parts, scale).cast("double")
+    top = F.abs(numerator.cast("decimal(28,0)"))
+    bottom = F.abs(F.nullif(denominator.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)")))
+    unit = F.lit(Decimal(2 * 10**scale))
+    units = F.call_function("div", top * unit + bottom, bottom * F.lit(Decimal(2)))
+    negative = (numerator < 0) != (denominator < 0)
+    signed = F.when(negative, -units).otherwise(units).cast("decimal(19,0)")
+    exact = (signed * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+    plain = numerator.cast("double") / bottom.cast("double")
+    large = F.abs(plain) * 10**scale >= 1e18
+    return F.when(large, F.when(denominator < 0, -plain).otherwise(plain)).otherwise(exact)
 
 
 def row_count() -> Column:

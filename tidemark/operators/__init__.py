@@ -11,7 +11,7 @@ from tidemark.operators.quality import (
     profile,
     type_diff,
 )
-from tidemark.operators.skew import heavy_keys
+from tidemark.operators.skew import heavy_keys, heavy_slots
 
 __all__ = [
     "cast_failures",
@@ -23,6 +23,7 @@ __all__ = [
     "dedup",
     "duplicate_keys",
     "heavy_keys",
+    "heavy_slots",
     "inverted_intervals",
     "latest_by_key",
     "null_counts",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_day, is_open
 from tidemark.functions.values import row_count
-from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys, is_heavy
+from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys
 
 
 def current_rows(df: DataFrame, end: str = "to_date") -> DataFrame:
@@ -53,7 +53,7 @@ def value_changes(
     end: date | str | Column,
     label: str,
     at: str = "from_date",
-    heavy: list[int] | None = None,
+    heavy: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Changes of ``value`` per key that take effect from ``start`` to ``end``.
 
@@ -65,17 +65,16 @@ def value_changes(
     Rows after the period are dropped first, as nothing before depends on them.
     The rest is put in order by key, but for the keys with too many rows for
     one task: those are handled in a way that never gathers a key's rows.
-    ``heavy`` replaces the search for them, ``[]`` turns it off.
+    ``heavy`` replaces the search for them, ``False`` turns it off.
     """
     first, last = as_day(start), as_day(end)
     rows = df.select(key, F.col(at).alias("at"), F.col(value).alias("value"))
     rows = rows.filter(F.col(key).isNotNull() & ((F.col("at") <= last) | F.col("at").isNull()))
     if heavy is None:
         heavy = heavy_keys([df], [key], HEAVY_WINDOW_ROWS)
-    if heavy:
-        split = is_heavy([key], heavy)
-        pairs = _ordered_pairs(rows.filter(~split), key, first).unionByName(
-            _heavy_pairs(rows.filter(split), key, first)
+    if isinstance(heavy, DataFrame):
+        pairs = _ordered_pairs(rows.join(heavy, key, "left_anti"), key, first).unionByName(
+            _heavy_pairs(rows.join(heavy, key, "left_semi"), key, first)
         )
     else:
         pairs = _ordered_pairs(rows, key, first)

@@ -7,11 +7,13 @@ otherwise, where adaptive execution splits a partition that is too large on
 either side.
 
 What a split cannot cure is a key with many intervals on the right, as every
-left row of the key is compared with all of them. Such keys (``heavy_keys``)
-are joined on key *and* calendar year: an interval is repeated for each year it
-touches and a pair counts only in the year in which it begins to exist, so each
-pair is found exactly once. All other keys sit in slot 0 and are not repeated.
-Give the side with fewer rows per key as the right one.
+left row of the key is compared with all of them. Such keys (``heavy_slots``)
+are joined on key *and* slot: slots are cut from the days of the key's own right
+rows, an interval is repeated for each slot it touches, and a pair counts only
+in the slot in which it begins to exist, so each pair is found exactly once.
+All other keys sit in slot 0 and are not repeated. The search for heavy keys
+runs when the join is built, over key and start of the right side. Give the
+side with fewer rows per key as the right one.
 """
 
 from __future__ import annotations
@@ -22,9 +24,9 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.dates import days_between, earlier_of, is_open, later_of, year_slot
+from tidemark.functions.dates import days_between, earlier_of, is_open, later_of
 from tidemark.model import AS_OF
-from tidemark.operators.skew import heavy_keys, is_heavy
+from tidemark.operators.skew import BOUNDS, FIRSTS, heavy_slots, slot_of
 
 SLOT = "_slot"
 
@@ -42,16 +44,14 @@ def _key_list(key: str | Sequence[str], left: DataFrame, right: DataFrame) -> li
     return keys
 
 
-def _slotted(df: DataFrame, keys: list[str], heavy: list[int], first: str, last: str, top: int):
-    """Add the slot column; rows of heavy keys are repeated per year touched."""
-    lowest = year_slot(F.col(first), top)
-    highest = year_slot(F.greatest(F.col(first), F.col(last)), top)
-    slots = F.when(is_heavy(keys, heavy), F.sequence(lowest, highest))
-    return df.withColumn(SLOT, F.explode(F.coalesce(slots, F.array(F.lit(0)))))
-
-
-def _slot_of(keys: list[str], heavy: list[int], day: Column, top: int) -> Column:
-    return F.when(is_heavy(keys, heavy), year_slot(day, top)).otherwise(F.lit(0))
+def _slotted(
+    df: DataFrame, keys: list[str], heavy: DataFrame, first: str, last: str, low: str
+) -> DataFrame:
+    """Add the slot column and the lowest slot; rows of heavy keys are repeated for each slot."""
+    lowest = slot_of(F.col(first))
+    slots = F.sequence(F.col(low), slot_of(F.greatest(F.col(first), F.col(last))))
+    bounded = df.join(heavy, keys, "left").withColumn(low, lowest)
+    return bounded.withColumn(SLOT, F.explode(slots)).drop(BOUNDS, FIRSTS)
 
 
 def overlap_join(
@@ -62,19 +62,17 @@ def overlap_join(
     start: str = "from_date",
     end: str = "to_date",
     suffixes: tuple[str, str] = ("_left", "_right"),
-    as_of: date = AS_OF,
-    heavy: list[int] | None = None,
+    heavy: DataFrame | bool | None = None,
 ) -> DataFrame:
     """Pairs of rows with equal key whose intervals overlap.
 
     ``strict`` leaves out pairs that only touch. Columns both sides have get a
     suffix, the key excepted; overlap_start, overlap_end and overlap_days are
-    added. ``heavy`` replaces the search for heavy keys, ``[]`` turns it off;
-    for their split all days from the year of ``as_of`` on count as one year.
+    added. ``heavy`` replaces the search for heavy keys, ``False`` turns it off.
     """
     keys = _key_list(key, left, right)
     if heavy is None:
-        heavy = heavy_keys([right], keys)
+        heavy = heavy_slots([right], keys, start)
     shared = (set(left.columns) & set(right.columns)) - set(keys)
     left = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     right = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
@@ -87,12 +85,13 @@ def overlap_join(
     else:
         meets = (F.col(from_l) <= F.col(to_r)) & (F.col(to_l) >= F.col(from_r))
 
-    if heavy:
-        top = as_of.year
-        left = _slotted(left, keys, heavy, from_l, to_l, top)
-        right = _slotted(right, keys, heavy, from_r, to_r, top)
-        meets = meets & (F.col(SLOT) == _slot_of(keys, heavy, begins, top))
-        pairs = left.join(right, [*keys, SLOT]).filter(meets).drop(SLOT)
+    if isinstance(heavy, DataFrame):
+        left = _slotted(left, keys, heavy, from_l, to_l, "_low_left")
+        right = _slotted(right, keys, heavy, from_r, to_r, "_low_right")
+        # The later start has the later slot, so it is that of the pair's beginning.
+        meets = meets & (F.col(SLOT) == F.greatest("_low_left", "_low_right"))
+        pairs = left.join(right, [*keys, SLOT]).filter(meets)
+        pairs = pairs.drop(SLOT, "_low_left", "_low_right")
     else:
         pairs = left.join(right, keys).filter(meets)
 
@@ -109,8 +108,7 @@ def point_in_interval_join(
     at: str,
     start: str = "from_date",
     end: str = "to_date",
-    as_of: date = AS_OF,
-    heavy: list[int] | None = None,
+    heavy: DataFrame | bool | None = None,
     keep_slot: bool = False,
 ) -> DataFrame:
     """Pairs with equal key where ``start <= at <= end``.
@@ -121,15 +119,15 @@ def point_in_interval_join(
     """
     keys = _key_list(key, points, history)
     if heavy is None:
-        heavy = heavy_keys([history], keys)
+        heavy = heavy_slots([history], keys, start)
     low, high = "_interval_start", "_interval_end"
     history = history.withColumnsRenamed({start: low, end: high})
     inside = F.col(at).between(F.col(low), F.col(high))
-    if not heavy:
+    if not isinstance(heavy, DataFrame):
         return points.join(history, keys).filter(inside).drop(low, high)
-    top = as_of.year
     if SLOT not in points.columns:
-        points = points.withColumn(SLOT, _slot_of(keys, heavy, F.col(at), top))
-    history = _slotted(history, keys, heavy, low, high, top)
-    pairs = points.join(history, [*keys, SLOT]).filter(inside).drop(low, high)
+        points = points.join(heavy, keys, "left").withColumn(SLOT, slot_of(F.col(at)))
+        points = points.drop(BOUNDS, FIRSTS)
+    history = _slotted(history, keys, heavy, low, high, "_low")
+    pairs = points.join(history, [*keys, SLOT]).filter(inside).drop(low, high, "_low")
     return pairs if keep_slot else pairs.drop(SLOT)

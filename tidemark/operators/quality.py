@@ -44,26 +44,19 @@ def inverted_intervals(df: DataFrame, start: str = "from_date", end: str = "to_d
     return df.agg(_inverted(start, end).alias("inverted_intervals"))
 
 
-def type_diff(df: DataFrame, schema: StructType) -> list[dict[str, str]]:
-    """Declared columns whose type class differs; reads the schema only."""
-    return [
-        {
-            "column": field.name,
-            "current_type": df.schema[field.name].dataType.simpleString(),
-            "expected_type": field.dataType.simpleString(),
-        }
-        for field in schema
-        if field.name in df.columns
-        and type(df.schema[field.name].dataType) is not type(field.dataType)
-    ]
+def type_diff(df: DataFrame, schema: StructType) -> list[tuple[str, str, str]]:
+    """(column, type, declared type) where the two differ; reads the schema only."""
+    found = dict(df.dtypes)
+    declared = {f.name: f.dataType.simpleString() for f in schema}
+    return [(c, found[c], t) for c, t in declared.items() if found.get(c, t) != t]
 
 
 def _differing(df: DataFrame, schema: StructType) -> list[str]:
-    return [issue["column"] for issue in type_diff(df, schema)]
+    return [column for column, *_ in type_diff(df, schema)]
 
 
 def cast_to(df: DataFrame, schema: StructType, strict: bool = True) -> DataFrame:
-    """Cast the columns of a differing type class to the declared type.
+    """Cast the columns of a differing type to the declared one.
 
     Under ANSI mode a bad value is an error if ``strict`` and null otherwise.
     """
@@ -74,17 +67,17 @@ def cast_to(df: DataFrame, schema: StructType, strict: bool = True) -> DataFrame
     return df.withColumns(casts) if casts else df
 
 
+def _failed(column: str, schema: StructType) -> Column:
+    value = F.col(column)
+    return F.count_if(value.isNotNull() & value.try_cast(schema[column].dataType).isNull())
+
+
 def cast_failures(df: DataFrame, schema: StructType) -> DataFrame:
     """Rows (column, failures): values a lenient cast would turn into null."""
     columns = _differing(df, schema)
     if not columns:
         return df.sparkSession.createDataFrame([], "column string, failures bigint")
-    counts = df.agg(
-        *[
-            F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(schema[c].dataType).isNull()).alias(c)
-            for c in columns
-        ]
-    )
+    counts = df.agg(*[_failed(c, schema).alias(c) for c in columns])
     return counts.unpivot([], columns, "column", "failures")
 
 
@@ -100,35 +93,59 @@ def dedup(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | Non
     return df.withColumn("_rn", F.row_number().over(first)).filter("_rn = 1").drop("_rn")
 
 
-def _finding(check: str, column: str, value: Column) -> Column:
+def _finding(check: str, column: str, value: Column, detail: str | None = None) -> Column:
     return F.struct(
-        F.lit(check).alias("check"), F.lit(column).alias("column"), value.cast("long").alias("value")
+        F.lit(check).alias("check"),
+        F.lit(column).alias("column"),
+        value.cast("long").alias("value"),
+        F.lit(detail).cast("string").alias("detail"),
     )
 
 
 def _profile_table(name: str, df: DataFrame, spec: TableSpec | None) -> DataFrame:
-    found = [_finding("rows", "*", row_count())]
-    found += [_finding("nulls", c, F.count_if(F.col(c).isNull())) for c in df.columns]
-    parts = []
+    """One pass: counts for each key as it is after the cast, and their sums."""
+    measures = {("nulls", c): F.count_if(F.col(c).isNull()) for c in df.columns}
+    details = []
+    key, interval = (), None
     if spec:
-        found += [_finding("type_mismatch", c, F.lit(1)) for c in _differing(df, spec.schema)]
+        differing = type_diff(df, spec.schema)
+        for c, found, declared in differing:
+            detail = f"{found}, declared {declared}"
+            details.append(_finding("type_mismatch", c, F.lit(1), detail))
+            measures["cast_failures", c] = _failed(c, spec.schema)
         if spec.start and {spec.start, spec.end} <= set(df.columns):
             interval = f"{spec.start},{spec.end}"
-            found.append(_finding("inverted_intervals", interval, _inverted(spec.start, spec.end)))
+            measures["inverted_intervals", interval] = _inverted(spec.start, spec.end)
+        cast = {c: spec.schema[c].dataType for c, *_ in differing}
+        key = [
+            (F.col(c).try_cast(cast[c]) if c in cast else F.col(c)).alias(f"_key{i}")
+            for i, c in enumerate(spec.key)
+        ]
+    columns = {f"_m{i}": measure for i, measure in enumerate(measures.values())}
+    groups = df.groupBy(*key).agg(
+        row_count().alias("_n"), *[m.alias(c) for c, m in columns.items()]
+    )
+    total = F.coalesce(F.sum("_n"), F.lit(0))
+    found = [_finding("rows", "*", total), *details]
+    found += [
+        _finding(check, column, F.coalesce(F.sum(c), F.lit(0)))
+        for c, (check, column) in zip(columns, measures)
+    ]
+    if spec:
         label = ",".join(spec.key)
-        keyed = [_finding(c, label, F.col(c)) for c in ("duplicate_keys", "surplus_rows")]
-        counted = duplicate_keys(df, spec.key).select(F.explode(F.array(*keyed)).alias("f"))
-        parts.append(counted)
-    fused = df.agg(F.array(*found).alias("all")).select(F.explode("all").alias("f"))
-    rows = reduce(DataFrame.unionByName, [fused, *parts])
+        found.append(_finding("duplicate_keys", label, F.count_if(F.col("_n") > 1)))
+        found.append(_finding("surplus_rows", label, total - F.count("_n")))
+    rows = groups.agg(F.array(*found).alias("all")).select(F.explode("all").alias("f"))
     return rows.select(F.lit(name).alias("table"), "f.*")
 
 
 def profile(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = SPECS) -> DataFrame:
-    """All checks of all tables as rows (table, check, column, value).
+    """All checks of all tables as rows (table, check, column, value, detail).
 
-    Two aggregations per table: one for row count, nulls and inverted
-    intervals, one for the keys. A table without a spec gets only the former.
+    One aggregation by key for each table, combined before the shuffle, sums up
+    to all counts. Keys are compared as they are after a lenient cast, so
+    ``surplus_rows`` is what ``clean`` removes. ``detail`` has the types of a
+    mismatch. A table without a spec has no key and no declared types.
     """
     parts = [_profile_table(name, df, specs.get(name)) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, parts)

@@ -1,59 +1,106 @@
-"""Finding the keys that hold too many rows for one join task."""
+"""Finding the keys that hold too many rows for one task, and splitting them by day.
+
+Both searches count exactly, whatever the number of heavy keys: what they find
+is a table in the shared scratch folder that is joined, not a list. They run
+when called, over the key columns (and one day column) of the frames given.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key with more intervals than this is split by year in the interval joins.
+from tidemark.functions.values import row_count
+from tidemark.session import new_scratch_path
+
+# A key with more intervals than this is split into slots in the interval joins.
 HEAVY_ROWS = 1_000
 
 # A key with more rows than this is kept out of the windows over a key.
 HEAVY_WINDOW_ROWS = 1_000_000
 
-# Size of the frequent-item sketches: keys are dealt into GROUPS, each group
-# keeps a sketch of TRACKED items and reports the TOP of them. A task emits at
-# most GROUPS * TRACKED counters whatever its input, and at most GROUPS * TOP
-# keys reach the driver.
-GROUPS = 32
-TRACKED = 1_000
-TOP = 100
+BOUNDS = "_bounds"
+FIRSTS = "_firsts"
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
+def _stored(df: DataFrame, name: str) -> DataFrame | None:
+    """``df`` written and read again, so that its size is known; None if it has no rows."""
+    target = new_scratch_path(df.sparkSession, name)
+    df.write.parquet(target)
+    read = df.sparkSession.read.schema(df.schema).parquet(target)
+    return None if read.isEmpty() else read
 
 
-def is_heavy(keys: Sequence[str], heavy: Sequence[int]) -> Column:
-    """True for rows whose key is among ``heavy``, which must not be empty.
+def heavy_keys(
+    frames: Sequence[DataFrame], keys: Sequence[str], min_rows: int = HEAVY_ROWS
+) -> DataFrame | None:
+    """The keys that occur more than ``min_rows`` times in a frame, or None if none does.
 
-    Written as text, since a column object per number takes long to build.
+    Rows are counted in each task before they move. Null keys never join and
+    are left out.
     """
-    columns = ", ".join(f"`{k}`" for k in keys)
-    return F.expr(f"xxhash64({columns}) in ({', '.join(f'{h}L' for h in heavy)})")
+    parts = [frame.select(F.lit(i).alias("_frame"), *keys) for i, frame in enumerate(frames)]
+    counts = reduce(DataFrame.unionAll, parts).groupBy("_frame", *keys).agg(row_count().alias("_n"))
+    heavy = counts.filter(F.col("_n") > min_rows).select(*keys).dropna()
+    return _stored(heavy.distinct() if len(frames) > 1 else heavy, "heavy")
 
 
-def heavy_keys(
-    frames: Sequence[DataFrame], keys: Sequence[str], min_rows: int = HEAVY_ROWS
-) -> list[int]:
-    """Hashes of the keys that occur more than ``min_rows`` times in a frame.
+def heavy_slots(
+    frames: Sequence[DataFrame],
+    keys: Sequence[str],
+    start: str = "from_date",
+    min_rows: int = HEAVY_ROWS,
+) -> DataFrame | None:
+    """The heavy keys with the days at which their slots begin, or None if there are none.
 
-    One pass over the key columns with mergeable sketches and no shuffle by
-    key. The counts are estimates, which is enough: the joins are exact with
-    any list of keys, the list only decides where work is split further.
+    A key's rows are counted by day, and a slot ends with the day that brings it
+    to ``min_rows``. So the bounds follow the key's own rows, in whatever years
+    they lie, and no more than ``min_rows`` rows and those of one day begin in a
+    slot. The window that adds up sees one row for each day of a key.
+
+    The days are kept in rows of about the square root of their number, so that
+    a slot is found without looking at all of them.
     """
-    parts = [
-        frame.select(F.lit(i).alias("frame"), key_hash(keys).alias("h"))
-        for i, frame in enumerate(frames)
-    ]
-    items = (
-        reduce(DataFrame.unionAll, parts)
-        .groupBy("frame", F.pmod("h", F.lit(GROUPS)))
-        .agg(F.expr(f"approx_top_k(h, {TOP}, {TRACKED})").alias("top"))
-        .select(F.inline("top"))
-        .filter(F.col("count") > min_rows)
+    heavy = heavy_keys(frames, keys, min_rows)
+    if heavy is None:
+        return None
+    rows = reduce(DataFrame.unionAll, [f.select(*keys, F.col(start).alias("_day")) for f in frames])
+    days = (
+        rows.join(heavy, list(keys), "left_semi")
+        .filter("_day is not null")
+        .groupBy(*keys, "_day")
+        .agg(row_count().alias("_n"))
+    )
+    before = Window.partitionBy(*keys).orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.floor(F.coalesce(F.sum("_n").over(before), F.lit(0)) / max(1, min_rows))
+    slots = days.withColumn("_slot", number).groupBy(*keys, "_slot").agg(F.min("_day").alias("_day"))
+    listed = slots.groupBy(*keys).agg(F.array_sort(F.collect_list("_day")).alias("_days"))
+    width = F.ceil(F.sqrt(F.size("_days"))).cast("int")
+    nested = F.transform(
+        F.sequence(F.lit(1), F.size("_days"), width), lambda i: F.slice("_days", i, width)
     )
-    return sorted({row["item"] for row in items.collect()})
+    return _stored(
+        listed.select(*keys, nested.alias(BOUNDS)).withColumn(
+            FIRSTS, F.transform(BOUNDS, lambda part: part[0])
+        ),
+        "slots",
+    )
+
+
+def slot_of(day: Column) -> Column:
+    """The slot of a day in its key's bounds; 0 for other keys and before the first bound.
+
+    It never decreases with the day. So if two intervals overlap, both cover
+    the slot in which their overlap starts.
+    """
+
+    def reached(bounds: Column) -> Column:
+        return F.size(F.filter(bounds, lambda bound: bound <= day))
+
+    part = reached(F.col(FIRSTS))
+    width = F.size(F.element_at(BOUNDS, 1))
+    inside = (part - 1) * width + reached(F.element_at(F.col(BOUNDS), part))
+    return F.when(F.col(FIRSTS).isNull() | day.isNull() | (part == 0), 0).otherwise(inside)

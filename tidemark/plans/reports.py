@@ -1,4 +1,7 @@
-"""The ten reports. Each takes tables as DataFrames and returns a lazy DataFrame.
+"""The ten reports. Each takes tables as DataFrames and returns a DataFrame.
+
+The result is lazy. Those with an interval join or with changes first look for
+heavy keys when they are called: one pass over the key column of the histories.
 
 Every order ends in columns that make it total. That fixes the result where
 the leading columns tie, and it spreads rows with equal leading columns over
@@ -43,6 +46,7 @@ from tidemark.operators import (
     close_open_intervals,
     current_rows,
     heavy_keys,
+    heavy_slots,
     latest_by_key,
     overlap_join,
     point_in_interval_join,
@@ -106,8 +110,8 @@ def salary_trends(
     The joins on emp_no follow each other, so each table moves once; the
     department name is looked up on the sums, which can be added further.
     """
-    heavy = heavy_keys([dept_emp, titles], ["emp_no"])
-    options = {"as_of": as_of, "heavy": heavy, "keep_slot": True}
+    heavy = heavy_slots([dept_emp, titles], ["emp_no"])
+    options = {"heavy": False if heavy is None else heavy, "keep_slot": True}
     paid = salaries.select("emp_no", "salary", F.col("from_date").alias("paid_from")).join(
         employees.select("emp_no"), "emp_no", "left_semi"
     )
@@ -191,13 +195,11 @@ def manager_impact(
         "dept_no",
         strict=False,
         suffixes=("", "_term"),
-        as_of=as_of,
     )
-    leaves, closed_term = F.col("to_date"), F.col("to_date_term")
-    until = (
-        F.when(is_open(leaves), F.lit(as_of))
-        .when(leaves < F.col("term_end"), leaves)
-        .otherwise(closed_term)
+    # Open assignments count to the as-of date, ended ones to the earlier end.
+    closed_term = F.col("to_date_term")
+    until = F.when(is_open("to_date"), F.lit(as_of)).otherwise(
+        earlier_of(F.col("to_date"), closed_term)
     )
     if clip_to_manager:
         until = earlier_of(until, closed_term)
@@ -282,14 +284,18 @@ def annual_salary_by_department(
         close_open_intervals(salaries, as_of=as_of),
         close_open_intervals(dept_emp, as_of=as_of),
         "emp_no",
-        as_of=as_of,
     )
     # Salary times days is summed as whole numbers and divided once. The first
-    # sum keeps the join's partitioning and makes the employees distinct.
+    # sum keeps the join's partitioning; departments are looked up on its rows,
+    # and the second makes the employees of a department name distinct.
+    paid = F.sum(F.col("salary").cast("long") * F.col("overlap_days"))
+    per_assignment = pairs.groupBy("emp_no", F.year("overlap_start").alias("year"), "dept_no").agg(
+        paid.alias("salary_days")
+    )
     per_employee = (
-        pairs.join(departments, "dept_no")
-        .groupBy("emp_no", F.year("overlap_start").alias("year"), "dept_name")
-        .agg(F.sum(F.col("salary").cast("long") * F.col("overlap_days")).alias("salary_days"))
+        per_assignment.join(departments, "dept_no")
+        .groupBy("emp_no", "year", "dept_name")
+        .agg(F.sum("salary_days").alias("salary_days"))
     )
     total = F.sum(F.col("salary_days").cast("decimal(20,0)"))
     return (
@@ -330,14 +336,16 @@ def employee_master(
 ) -> DataFrame:
     """Current department, title and salary of each employee.
 
-    Of several open rows the one that started last counts. With ``keep_equal``
-    every open row with that one's value stays, as a row of its own.
+    Of several open rows the one that started last counts; an employee whose
+    latest value is null drops out. With ``keep_equal`` every open row with that
+    one's value stays, as a row of its own.
     """
 
     def current(history: DataFrame, value: str) -> DataFrame:
         equal = (value,) if keep_equal else ()
         rows = current_rows(history).select("emp_no", value, "from_date")
-        return latest_by_key(rows, "emp_no", tie=(value,), keep_equal=equal).drop("from_date")
+        latest = latest_by_key(rows, "emp_no", tie=(value,), keep_equal=equal)
+        return latest.drop("from_date").filter(F.col(value).isNotNull())
 
     tenure = days_between(F.col("hire_date"), F.lit(as_of)) / DAYS_PER_TENURE_YEAR
     return (
@@ -374,11 +382,14 @@ def employee_changes(
     manager changes the names of the managers, null for one who is unknown.
     """
     period = as_day(start), as_day(end)
-    keys = [h.select(F.col("emp_no").alias("k")) for h in (dept_emp, titles, salaries)]
-    keys.append(dept_manager.select(F.col("dept_no").alias("k")))
-    heavy = heavy_keys(keys, ["k"], HEAVY_WINDOW_ROWS)
+    histories = [h.select("emp_no") for h in (dept_emp, titles, salaries)]
+    of_key = {
+        "emp_no": heavy_keys(histories, ["emp_no"], HEAVY_WINDOW_ROWS),
+        "dept_no": heavy_keys([dept_manager], ["dept_no"], HEAVY_WINDOW_ROWS),
+    }
 
     def changes(history: DataFrame, key: str, value: str, label: str) -> DataFrame:
+        heavy = False if of_key[key] is None else of_key[key]
         return value_changes(history, key, value, *period, label, heavy=heavy).withColumns(
             {c: F.col(c).cast("string") for c in ("old_value", "new_value")}
         )
