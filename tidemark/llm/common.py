@@ -20,6 +20,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
 import tidemark
+from tidemark.session import configure
 
 # Python works on at most this many bytes of text at a time, or on one row.
 PIECE_BYTES = 8 * 1024**2
@@ -61,8 +62,10 @@ def prepared(spark: SparkSession) -> SparkSession:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    """The table ``documents`` of a folder."""
-    return prepared(spark).read.parquet(f"{folder}/documents.parquet")
+    """The table ``documents`` of a folder; shuffles are sized by its files."""
+    docs = prepared(spark).read.parquet(f"{folder}/documents.parquet")
+    configure(spark, docs)
+    return docs
 
 
 def vocabulary(name: str) -> str:
