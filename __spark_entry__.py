@@ -261,15 +261,17 @@ OF_ORDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def _on_tables(query: Callable[[SparkSession, Tables], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        configure(spark)
-        return query(spark, staffing.stored(spark, sf_dir))
+        configure(spark, *staffing.sources(spark, sf_dir))
+        tables = staffing.stored(spark, sf_dir)
+        configure(spark, *tables.values())
+        return query(spark, tables)
 
     return run
 
 
 def _on_orders(query: Callable[[SparkSession, str], DataFrame]):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(configure(spark), sf_dir)
+        return query(configure(spark, *staffing.sources(spark, sf_dir)), sf_dir)
 
     return run
 

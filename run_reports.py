@@ -32,9 +32,6 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         job.add_argument("--password-file", type=Path)
         job.add_argument("--driver", default="com.mysql.cj.jdbc.Driver")
         job.add_argument("--partitions", type=int, default=64, help="parallel reads per table")
-        job.add_argument(
-            "--shuffled-gb", type=float, help="size of the largest table, to size the shuffles"
-        )
         job.add_argument("--start", help="first day of the change report")
         job.add_argument("--end", help="last day of the change report")
     jobs.choices["changes"].add_argument(
@@ -58,8 +55,8 @@ def load(spark: SparkSession, options: argparse.Namespace) -> dict[str, DataFram
 def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
     spark = SparkSession.builder.appName("staff-reports").getOrCreate()
-    size = int(options.shuffled_gb * 1024**3) if options.shuffled_gb else None
-    tables = load(configure(spark, size), options)
+    tables = load(configure(spark), options)
+    configure(spark, *tables.values())
     out = options.out.rstrip("/")
     period = {k: v for k in ("start", "end") if (v := getattr(options, k))}
     if options.job == "run":

@@ -10,8 +10,8 @@ FOLDER = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def stored(spark):
-    staffing.stored(spark, FOLDER)
-    return next(root for (_, folder), root in staffing._stored.items() if folder == FOLDER)
+    tables = staffing.stored(spark, FOLDER)
+    return tables["salaries"].inputFiles()[0].partition("/salaries.parquet/")[0]
 
 
 def count(spark, path):

@@ -10,6 +10,7 @@ from tidemark.functions import as_day, previous_month
 from tidemark.model import AS_OF, PERIOD_END, PERIOD_START, SPECS
 from tidemark.operators import clean, profile
 from tidemark.plans import reports
+from tidemark.session import configure
 from tidemark.sources.readers import read_tables
 from tidemark.sources.writers import write_csv, write_parquet, write_report, write_tables
 
@@ -30,6 +31,7 @@ def reports_job(
     paths = {"quality": write_parquet(profile(tables), f"{out}/quality")}
     paths["tables"] = write_tables(clean(tables), f"{out}/tables")
     t = read_tables(spark, paths["tables"], tables, SPECS)
+    configure(spark, *t.values())
 
     by_department = reports.annual_salary_by_department(
         t["dept_emp"], t["departments"], t["salaries"], as_of

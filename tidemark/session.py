@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings only, so they can be put on a session that already runs.
 # Forcing the skew split lets adaptive execution break up a hot join key even
@@ -22,21 +22,33 @@ RUNTIME_SETTINGS = {
 
 # A shuffle partition of this size sorts in the memory of one task.
 PARTITION_BYTES = 128 * 1024**2
-MOST_PARTITIONS = 100_000
+# Catalyst takes a frame of unknown size for larger than this.
+UNKNOWN_BYTES = 1 << 62
 
 
-def configure(spark: SparkSession, shuffled_bytes: int | None = None) -> SparkSession:
+def input_bytes(*frames: DataFrame) -> int:
+    """The total size of the files of the frames, as Catalyst knows it.
+
+    A frame whose size it does not know, such as one of a database, counts nothing.
+    """
+    plans = (df._jdf.queryExecution().analyzed() for df in frames)
+    sizes = (int(str(plan.stats().sizeInBytes())) for plan in plans)
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
+def configure(spark: SparkSession, *shuffled: DataFrame) -> SparkSession:
     """Put the runtime settings on ``spark`` and hand it back.
 
-    ``shuffled_bytes`` is the size of the largest table to be shuffled. Shuffles
-    then start with as many partitions as it needs; adaptive execution merges
+    ``shuffled`` are the tables read. Shuffles then start with a partition for
+    each ``PARTITION_BYTES`` of their files, however many these are, and with
+    no fewer than ``spark.sql.shuffle.partitions``; adaptive execution merges
     those that turn out small.
     """
     for name, value in RUNTIME_SETTINGS.items():
         spark.conf.set(name, value)
-    if shuffled_bytes:
+    if shuffled:
         least = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        wanted = min(-(-shuffled_bytes // PARTITION_BYTES), MOST_PARTITIONS)
+        wanted = -(-input_bytes(*shuffled) // PARTITION_BYTES)
         spark.conf.set(
             "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(max(least, wanted))
         )
@@ -61,6 +73,21 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_folder()
 
 
+_folders: set[str] = set()
+
+
 def new_scratch_path(spark: SparkSession, name: str) -> str:
-    """A path below the scratch root that nothing else uses."""
-    return f"{scratch_root(spark)}/tidemark/{name}-{uuid.uuid4().hex}"
+    """A path in the application's scratch folder that nothing else uses.
+
+    The folder is removed when the application ends.
+    """
+    application = spark.conf.get("spark.app.id", "application")
+    folder = f"{scratch_root(spark)}/tidemark/{application}"
+    if folder not in _folders and isinstance(spark, SparkSession):
+        _folders.add(folder)
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(context._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"

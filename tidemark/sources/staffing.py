@@ -22,7 +22,22 @@ from tidemark.session import new_scratch_path
 from tidemark.sources.readers import read_tables
 from tidemark.sources.writers import write_tables
 
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple, str] = {}
+
+
+def sources(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The two tables that everything is derived from."""
+    return [spark.read.parquet(f"{folder}/{name}.parquet") for name in ("orders", "customer")]
+
+
+def _files(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and modification time of the files of both source tables."""
+    context, found = spark.sparkContext, []
+    for name in ("orders", "customer"):
+        path = context._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}.parquet")
+        for file in path.getFileSystem(context._jsc.hadoopConfiguration()).listStatus(path):
+            found.append((str(file.getPath()), file.getLen(), file.getModificationTime()))
+    return tuple(sorted(found))
 
 
 def assignments(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,9 +132,10 @@ def stored(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The six tables written once per application to the shared scratch folder.
 
     Queries then scan Parquet: filters and columns are pushed down, and the
-    size Catalyst compares with its broadcast threshold is the real one.
+    size Catalyst compares with its broadcast threshold is the real one. They
+    are derived anew when a source file is another, or of another time or size.
     """
-    run = (spark.sparkContext.applicationId, folder)
+    run = (spark.sparkContext.applicationId, *_files(spark, folder))
     if run not in _stored:
         root = new_scratch_path(spark, "staffing")
         _stored[run] = write_tables(derive(spark, folder), root)
