@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,9 +180,15 @@ def _sink_csv(spark: SparkSession, t: Tables) -> DataFrame:
     return _read_csv(report, write_csv(report, new_scratch_path(spark, "master")))
 
 
+def _as_lines(name: str, df: DataFrame) -> DataFrame:
+    """Rows of any table as (result, line), so that several can be compared at once."""
+    return df.select(F.lit(name).alias("result"), F.concat_ws("|", *df.columns).alias("line"))
+
+
 def _sink_tables(spark: SparkSession, t: Tables) -> DataFrame:
-    root = write_tables({"dept_emp": t["dept_emp"]}, new_scratch_path(spark, "tables"))
-    return spark.read.parquet(f"{root}/dept_emp.parquet")
+    root = write_tables(t, new_scratch_path(spark, "tables"))
+    parts = [_as_lines(n, spark.read.parquet(f"{root}/{n}.parquet")) for n in t]
+    return reduce(DataFrame.union, parts)
 
 
 def _full_run(spark: SparkSession, t: Tables) -> DataFrame:
@@ -190,6 +197,21 @@ def _full_run(spark: SparkSession, t: Tables) -> DataFrame:
     return _read_csv(like, paths["annual_salary_by_department"])
 
 
+def _full_run_results(spark: SparkSession, t: Tables) -> DataFrame:
+    """All that a run writes beside the annual report, read back."""
+    paths = plans.reports_job(spark, t, new_scratch_path(spark, "run"))
+    changes = plans.employee_changes(*[t[n] for n in CHANGED], *PERIOD)
+    hoppers = plans.job_hoppers(t["dept_emp"], t["employees"])
+    found = {
+        "employee_master": spark.read.parquet(paths["employee_master"]),
+        "employee_master_csv": _read_csv(_master(t), paths["employee_master_csv"]),
+        "job_hoppers": _read_csv(hoppers, paths["job_hoppers"]),
+        "employee_changes": _read_csv(changes, paths["employee_changes"]),
+        "quality": spark.read.parquet(paths["quality"]),
+    }
+    return reduce(DataFrame.union, [_as_lines(*item) for item in found.items()])
+
+
 def _monthly_run(spark: SparkSession, t: Tables) -> DataFrame:
     uri = plans.changes_job(spark, t, new_scratch_path(spark, "run"), month_before=MONTH_AFTER)
     return _read_csv(plans.employee_changes(*[t[n] for n in CHANGED]), uri)
@@ -242,6 +264,7 @@ OF_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "sink_csv_roundtrip": _sink_csv,
     "sink_tables_roundtrip": _sink_tables,
     "full_run_annual_salary": _full_run,
+    "full_run_results": _full_run_results,
     "monthly_run_changes": _monthly_run,
 }
 
