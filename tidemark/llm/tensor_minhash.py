@@ -181,16 +181,20 @@ def _possible(percent: int) -> Column:
 
 
 def _apart(shared: DataFrame, joined: DataFrame) -> DataFrame:
-    """Rows (key, id, component) of the tables that hold several components, stored."""
+    """Rows (key, id, component, main) of the tables that hold several components, stored.
+
+    ``main`` is the component with most ids in the table.
+    """
     labelled = shared.join(joined, "id", "left").select(
         "key", "id", F.coalesce("component", "id").alias("component")
     )
     labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(
-        F.min("component").alias("least"), F.max("component").alias("most")
+    held = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = held.groupBy("key").agg(
+        F.count(F.lit(1)).alias("components"), F.max_by("component", "n").alias("main")
     )
-    mixed = mixed.filter("least < most").select("key")
-    return stored(labelled.join(mixed, "key", "left_semi"), "apart")
+    mixed = mixed.filter("components > 1").select("key", "main")
+    return stored(labelled.join(mixed, "key"), "apart")
 
 
 def near_duplicates(
@@ -245,15 +249,15 @@ def near_duplicates(
     apart = _apart(shared.select("key", "id"), joined)
     for exhaustive in (False, True):
         members = apart.join(sets, "id")
-        if exhaustive:
-            others = members
+        if exhaustive:  # one of a pair is not of the table's main component
+            others = members.drop("main")
+            members = members.filter("component <> main")
         else:
-            drawn = F.struct(F.xxhash64("key", "id"), *[c for c in members.columns if c != "key"])
-            others = members.groupBy("key").agg(F.min(drawn).alias("d"))
-            others = others.select("key", *[F.col(f"d.{c}") for c in members.columns if c != "key"])
-        met = named(members, "l", "key").join(named(others, "r", "key"), "key")
-        order = F.col("id_l") < F.col("id_r") if exhaustive else F.col("id_l") != F.col("id_r")
-        met = met.filter(order & (F.col("component_l") != F.col("component_r")) & possible)
+            columns = [c for c in members.columns if c not in ("key", "main")]
+            drawn = F.min(F.struct(F.xxhash64("key", "id"), *columns)).alias("d")
+            others = members.groupBy("key").agg(drawn).select("key", *[f"d.{c}" for c in columns])
+        met = named(members.drop("main"), "l", "key").join(named(others, "r", "key"), "key")
+        met = met.filter((F.col("component_l") != F.col("component_r")) & possible)
         u, v = F.least("id_l", "id_r").alias("u"), F.greatest("id_l", "id_r").alias("v")
         pairs = stored(met.select(u, v).distinct().join(done, ["u", "v"], "left_anti"), "pairs")
         more = stored(verified(pairs, texts, shingle=shingle, percent=percent), "links")
