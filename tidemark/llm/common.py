@@ -113,17 +113,17 @@ def restricted(df: DataFrame, some: DataFrame, on: str) -> DataFrame:
 
     Counted first: a small one is broadcast, which leaves ``df`` where it is.
     """
-    return df.join(_marked(some), on)
+    return df.join(small(some), on)
 
 
 def without(df: DataFrame, some: DataFrame, on: str) -> DataFrame:
     """``df`` without the rows whose key is in the stored table ``some``; null keys stay."""
-    return df.join(_marked(some), on, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    return df.join(small(some), on, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _marked(some: DataFrame) -> DataFrame:
-    few = some.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(some) if few else some
+def small(some: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The stored table, to be broadcast if it has at most ``most`` rows."""
+    return F.broadcast(some) if some.limit(most + 1).count() <= most else some
 
 
 def pieces(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:

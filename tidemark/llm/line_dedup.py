@@ -31,7 +31,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import restricted, ship
+from tidemark.llm.common import restricted, ship, small
 from tidemark.llm.components import stored
 from tidemark.llm.shingles import blocks, mix, word_hashes
 
@@ -39,8 +39,9 @@ PERCENT = 80
 COUNT_BITS = 17  # token counts are kept by this many bits of the hash
 RANK_BITS = 12
 FIRST_ROUND = 1  # rarest tokens of the first comparison
-LONG = 80  # tokens from which on a parity map has 256 bits instead of 64
-MAPS = [f"m{i}" for i in range(4)]
+LONG = 80  # tokens from which on a parity map has 192 bits instead of 64
+MAPS = [f"m{i}" for i in range(3)]
+MARKED_ROWS = 1_000_000  # of marks that are handed to all tasks; more are joined by a shuffle
 NO_ID = -(1 << 63)  # stands for a null id, before all others
 
 
@@ -88,7 +89,7 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
 
 
 def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
-    """One row (id, line, n, d1, d2, m0 to m3, prefix) for each line with words.
+    """One row (id, line, n, d1, d2, m0 to m2, prefix) for each line with words.
 
     ``d1`` and ``d2`` identify the token set, ``prefix`` holds its rarest tokens
     as 32-bit hashes in order. Each token flips a bit of the parity map, of
@@ -130,7 +131,7 @@ def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
             d1 = np.add.reduceat(mixed, first)
             d2 = np.add.reduceat(mix(mixed + np.uint64(1)), first)
             bit = np.uint64(1) << (mixed & np.uint64(63))
-            part = (mixed >> np.uint64(6)) & np.uint64(3)
+            part = (mixed >> np.uint64(6)) % np.uint64(len(MAPS))
             part[np.repeat(n < LONG, n)] = 0
             maps = [
                 np.bitwise_xor.reduceat(np.where(part == i, bit, np.uint64(0)), first)
@@ -183,7 +184,7 @@ def _may_match(percent: int) -> Column:
     smaller, larger = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
     both = [F.col(f"l_{m}").bitwiseXOR(F.col(f"r_{m}")) for m in MAPS]
     counted = [F.bit_count(b) for b in both]
-    whole = both[0].bitwiseXOR(both[1]).bitwiseXOR(both[2]).bitwiseXOR(both[3])
+    whole = both[0].bitwiseXOR(both[1]).bitwiseXOR(both[2])
     apart = F.when(smaller >= LONG, sum(counted[1:], counted[0])).otherwise(F.bit_count(whole))
     return (100 * smaller >= percent * larger) & (
         apart <= F.col("l_n") + F.col("r_n") - 2 * _needed(percent)
@@ -295,11 +296,12 @@ def removed_lines(
         .withColumn("done", F.lit(1)),
         "done",
     )
-    marked = classes.filter("size(prefix) > 0").join(done, ["id", "line"], "left")
+    marks = small(done, MARKED_ROWS)
+    marked = classes.filter("size(prefix) > 0").join(marks, ["id", "line"], "left")
     every = postings(marked, None, "done")
     columns = (*own, "at", "done")
     # Both marks are in the condition, so both sides are one shuffle.
-    open_ = F.coalesce("l_done", F.lit(0)) + 0 * F.coalesce("r_done", F.lit(0)) == 0
+    open_ = F.coalesce("l_done", F.lit(0)) * (2 + F.coalesce("r_done", F.lit(0))) < 1
     rest = _named(every, "l", *columns).join(_named(every, "r", *columns), "token")
     rest = rest.filter(
         open_ & F.expr(EARLIER) & _may_match(percent) & _positions_fit(percent)
