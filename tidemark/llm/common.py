@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, lru_cache
 from pathlib import Path
 
 import public_tokenizers
@@ -83,6 +83,26 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+_caches: list[Callable] = []
+_owner: list[str] = [""]
+
+
+def kept(make: Callable) -> Callable:
+    """``make`` with its last results kept in a Python worker until another operator runs there."""
+    cached = lru_cache(maxsize=2)(make)
+    _caches.append(cached.cache_clear)
+    return cached
+
+
+def turn(owner: str) -> None:
+    """Tell the worker which operator runs; what others have kept in it is let go."""
+    if owner != _owner[0]:
+        _owner[0] = owner
+        for clear in _caches:
+            clear()
+        pa.default_memory_pool().release_unused()
+
+
 class Memo(dict):
     """Results by key, computed when first asked for; at most about ``2 * most`` are kept.
 
@@ -159,6 +179,7 @@ def per_text(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn(f"{work.__module__}.{work.__qualname__}")
         for batch in batches:
             for piece in pieces(batch):
                 made = work(piece.column(1).to_pylist())

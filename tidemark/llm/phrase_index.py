@@ -30,7 +30,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import pieces, ship
+from tidemark.llm.common import pieces, ship, turn
 
 WINDOW = 10
 # Bytes of benchmark texts that are handed to all tasks at a time.
@@ -112,6 +112,7 @@ def build_index(
         return pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn(__name__)
         part, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in pieces(batch):

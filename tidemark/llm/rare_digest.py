@@ -27,7 +27,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import ship
+from tidemark.llm.common import ship, turn
 
 WINDOW = 64  # bytes of a feature
 RUN = 64  # windows among which the rarest is counted
@@ -202,6 +202,7 @@ def likeness(left: bytes, right: bytes) -> float:
 
 def blocks(rows: Iterator, size) -> Iterator[list]:
     """Lists of rows that together have about ``BLOCK_BYTES``."""
+    turn(__name__)
     held, total = [], 0
     for row in rows:
         held.append(row)

@@ -14,14 +14,13 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import ahocorasick
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField
 
-from tidemark.llm.common import Memo, per_text, vocabulary
+from tidemark.llm.common import Memo, kept, per_text, vocabulary
 
 VOCABULARY = "piece_bpe_32k.model"
 # Words kept with their ids in a Python worker, so that memory stays bounded.
@@ -212,7 +211,7 @@ class Pieces:
         return sum(counts) + 1, f"{' '.join(shown)} {self.end}", "".join(decoded)[1:]
 
 
-@lru_cache(maxsize=2)
+@kept
 def pieces_of(path: str) -> Pieces:
     return Pieces(path)
 

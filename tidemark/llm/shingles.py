@@ -11,6 +11,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+from tidemark.llm.common import turn
+
 BLOCK_BYTES = 512 * 1024  # of texts that are hashed together, or one text
 
 _ODD = 0x9E3779B97F4A7C15
@@ -44,6 +46,7 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 
 def blocks(rows: Iterable, size) -> Iterator[list]:
     """Lists of rows that together have about ``BLOCK_BYTES``."""
+    turn(__name__)
     held, total = [], 0
     for row in rows:
         held.append(row)

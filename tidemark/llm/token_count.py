@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import regex
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField
 
-from tidemark.llm.common import Memo, per_text, vocabulary
+from tidemark.llm.common import Memo, kept, per_text, vocabulary
 
 VOCABULARY = "byte_bpe_50k.json"
 # Words kept with their counts in a Python worker, so that memory stays bounded.
@@ -102,7 +101,7 @@ class Counter:
         return sum(map(self._plain, parts)) + len(parts) - 1
 
 
-@lru_cache(maxsize=2)
+@kept
 def counter(path: str) -> Counter:
     return Counter(path)
 

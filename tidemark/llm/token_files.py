@@ -11,7 +11,6 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 from tokenizers import Tokenizer
 
-from tidemark.llm.common import Memo, pieces, ship, vocabulary
+from tidemark.llm.common import Memo, kept, pieces, ship, turn, vocabulary
 from tidemark.llm.token_count import byte_symbols
 
 VOCABULARY = "word_bpe_49k.json"
@@ -83,7 +82,7 @@ class Encoder:
         return b"".join(map(self.of_word.__getitem__, WORD.findall(text)))
 
 
-@lru_cache(maxsize=2)
+@kept
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 
@@ -123,6 +122,7 @@ def write_token_files(
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn(__name__)
         own, end = encoder(path), np.array([end_id], "<i4").tobytes()
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
