@@ -6,6 +6,7 @@ the whole ``orders`` and ``customer`` tables of the folder given.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -24,26 +25,27 @@ from tidemark.model import OPEN_END, SPECS  # noqa: E402
 from tidemark.session import configure, new_scratch_path  # noqa: E402
 from tidemark.sources import staffing, write_csv, write_report, write_tables  # noqa: E402
 
-# The operators for training data are an optional part: only these imports are guarded.
+# The operators for training data are an optional part: only its absence is passed over.
 EXTRA: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 EXTRA_SQL: dict[str, str] = {}
-try:
-    import tidemark.llm
-except ImportError:
-    pass
-else:
+
+
+def _is_there(module: str) -> bool:
+    spec = importlib.util.find_spec(module)
+    return spec is not None and spec.origin is not None
+
+
+if _is_there("tidemark.llm"):
     from tidemark.llm import queries as llm_queries
 
     EXTRA.update(llm_queries.QUERIES)
     EXTRA_SQL.update(llm_queries.ORACLE_SQL)
-try:
-    import corpus_pipeline
-except ImportError:
-    pass
-else:
-    EXTRA["pipeline"] = corpus_pipeline.run
-    if corpus_pipeline.ORACLE_SQL:
-        EXTRA_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+    if _is_there("corpus_pipeline"):
+        import corpus_pipeline
+
+        EXTRA["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            EXTRA_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
 Tables = dict[str, DataFrame]
 PERIOD = oracle.DEFAULT_PERIOD
