@@ -8,8 +8,9 @@ from 64-bit parity maps of the sets, and what remains is verified by the exact
 Jaccard similarity of the words. A line is removed if any earlier line matches.
 
 Copies with small edits form groups in which all match all. Each class is
-therefore first compared with the earliest that has its rarest token in its
-prefix's first place; only classes this leaves are joined with all others.
+therefore first compared with the earliest that shares one of a few keys, pairs
+of tokens next to each other in the prefix, chosen by their hash so that copies
+choose alike; only classes this leaves are joined with all others.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ from tidemark.llm.shingles import blocks, mix, word_hashes
 PERCENT = 80
 COUNT_BITS = 17  # token counts are kept by this many bits of the hash
 RANK_BITS = 12
-FIRST_ROUND = 1  # rarest tokens of the first comparison
+FIRST_ROUND = 3  # keys of a line in the first comparison
 LONG = 80  # tokens from which on a parity map has 192 bits instead of 64
 MAPS = [f"m{i}" for i in range(3)]
 MARKED_ROWS = 1_000_000  # of marks that are handed to all tasks; more are joined by a shuffle
@@ -278,12 +279,18 @@ def removed_lines(
 
     own = ("id", "line", "n", *MAPS)
 
-    def postings(frame: DataFrame, most: int | None = None, *more: str) -> DataFrame:
-        prefix = F.col("prefix") if most is None else F.slice("prefix", 1, most)
-        exploded = frame.select(*own, *more, F.posexplode(prefix))
+    def postings(frame: DataFrame, tokens: Column, *more: str) -> DataFrame:
+        exploded = frame.select(*own, *more, F.posexplode(tokens))
         return exploded.withColumnsRenamed({"pos": "at", "col": "token"})
 
-    rare = postings(classes, FIRST_ROUND)
+    def key(i: Column) -> Column:
+        return F.xxhash64(F.element_at("prefix", i), F.element_at("prefix", i + 1))
+
+    keys = F.transform(F.sequence(F.lit(1), F.size("prefix") - 1), key)
+    keys = F.when(F.size("prefix") > 1, F.slice(F.array_sort(keys), 1, FIRST_ROUND)).otherwise(
+        F.transform("prefix", lambda token: F.xxhash64(token))
+    )
+    rare = postings(classes.filter("size(prefix) > 0"), keys)
     lowest = rare.groupBy("token").agg(F.min(F.struct(*own)).alias("f")).select("token", "f.*")
     near = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
     near = near.filter(F.expr(EARLIER) & _may_match(percent))
@@ -298,7 +305,7 @@ def removed_lines(
     )
     marks = small(done, MARKED_ROWS)
     marked = classes.filter("size(prefix) > 0").join(marks, ["id", "line"], "left")
-    every = postings(marked, None, "done")
+    every = postings(marked, F.col("prefix"), "done")
     columns = (*own, "at", "done")
     # Both marks are in the condition, so both sides are one shuffle.
     open_ = F.coalesce("l_done", F.lit(0)) * (2 + F.coalesce("r_done", F.lit(0))) < 1
