@@ -18,8 +18,6 @@ from tidemark.llm.common import documents, prepared, without
 from tidemark.llm.components import stored
 from tidemark.session import configure, new_scratch_path
 
-# A text whose best regression says less than this is in none of the languages learned.
-LEAST_SCORE = 0.25
 # SQL has no kernel regression and no sentence pieces; tests compare with brute force.
 ORACLE_SQL = None
 
@@ -27,15 +25,15 @@ ORACLE_SQL = None
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter and those that no language learned from docs fits.
 
-    So null and empty texts go, and all rows if nothing could be learned. Each
+    A text fits if it is spelled like the rows of the language predicted; a few
+    letters are not enough to tell, and stay. So null and empty texts go, and all rows if nothing could be learned. Each
     row is judged by its text alone; ids may be null or repeated. No shuffle.
     """
     prepared(configure(spark))
     model = language_kernel.fit_languages(docs)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("tm_row")
-    found = language_kernel.predict_languages(docs, model, keep=(row,))
-    fits = (F.col("lang_pred") != language_kernel.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
-    return found.filter(fits).select("tm_row.*")
+    found = language_kernel.predict_languages(docs, model, keep=(row,), outside=True)
+    return found.filter(F.col("lang_pred") != language_kernel.UNDETERMINED).select("tm_row.*")
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

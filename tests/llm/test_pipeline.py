@@ -60,3 +60,37 @@ def test_stage_takes_odd_rows(ready, odd, empty, name):
         "pieces": [r["doc_id"] for r in source.collect()],
     }[name]
     assert sorted(map(str, ids)) == sorted(map(str, expected))
+
+
+UNLEARNED = {
+    "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati "
+    "di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni "
+    "obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+    "zh": "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "gibberish": "qxvk zjwpt fhgqz xkcdv bnmqw plokz rtyxq vwzjk ghfdq mxnzb",
+    "short gibberish": "xqzvwk jqxzpf",
+}
+
+
+def test_language_stage_drops_unlearned_languages_and_gibberish(ready, docs):
+    rows = [(-1 - i, text) for i, text in enumerate(UNLEARNED.values())]
+    added = ready.createDataFrame(rows, "doc_id long, text string")
+    both = docs.unionByName(added, allowMissingColumns=True)
+    left = {r["doc_id"] for r in corpus_pipeline.identify_language(ready, both, FOLDER).collect()}
+    assert {i for i in left if i < 0} == set()
+    assert len(left) >= 0.99 * docs.count()
+
+
+@pytest.mark.parametrize("unlearned", ["de", "en", "es", "fr"])
+def test_language_stage_without_labels_of_one_language(ready, docs, unlearned):
+    some = docs.withColumn("was", F.col("lang"))
+    some = some.withColumn("lang", F.when(F.col("lang") != unlearned, F.col("lang")))
+    left = corpus_pipeline.identify_language(ready, some, FOLDER)
+    counts = {r["was"]: r["count"] for r in left.groupBy("was").count().collect()}
+    for row in some.groupBy("was").count().collect():
+        if row["was"] == unlearned:
+            assert counts.get(unlearned, 0) <= 0.1 * row["count"]
+        else:
+            assert counts[row["was"]] >= 0.97 * row["count"]

@@ -8,6 +8,12 @@ its feature vector, and one ridge regression for each language (one against
 the rest) scores it. A batch is scored by two matrix products.
 
 n-grams are hashed to 2**18 buckets.
+
+The regressions of any text have one sum, so the best of them cannot tell that
+a text is in no language learned. That is told by its spelling: the share of
+its distinct runs of four letters (or spaces) that occur in a landmark of the
+language predicted, against what is usual for held-out rows of that language.
+Neither depends on the number of languages.
 """
 
 from __future__ import annotations
@@ -31,6 +37,11 @@ RIDGE = 1e-2
 UNDETERMINED = "und"
 LETTER = re.compile(r"[^\W\d_]")
 ROWS = 128  # of a matrix product
+SPELLED = 4  # bytes of a run of letters
+KNOWN = 0.5  # of the usual share of known runs, what a text of a language has at least
+ASSUMED = 4  # runs more that count as known, so that a word or two are not judged by chance
+# Letters and space; bytes above 127 are parts of other characters, nearly all of them letters.
+LETTERS = np.array([c > 127 or chr(c).isalpha() or c == 32 for c in range(256)])
 
 
 class Presence:
@@ -43,6 +54,14 @@ class Presence:
         data = np.frombuffer(text.lower().encode(), np.uint8)
         return self.distinct.of(np.concatenate([gram_buckets(data, n, BITS) for n in ORDERS]))
 
+    def spelling(self, text: str) -> np.ndarray:
+        """The distinct runs of ``SPELLED`` letters, as buckets."""
+        data = np.frombuffer(text.lower().encode(), np.uint8)
+        if len(data) < SPELLED:
+            return np.empty(0, np.uint32)
+        inside = np.lib.stride_tricks.sliding_window_view(LETTERS[data], SPELLED).all(axis=1)
+        return self.distinct.of(gram_buckets(data, SPELLED, BITS)[inside])
+
 
 _presence: list[Presence] = []
 
@@ -62,6 +81,27 @@ class LanguageModel:
     weights: np.ndarray | None = None
     column: np.ndarray | None = None
     dense: np.ndarray | None = None
+    spelled: list[np.ndarray] = field(default_factory=list)  # runs in landmarks, of each language
+    usual: list[float] = field(default_factory=list)
+    known: np.ndarray | None = None
+
+    def learn_spelling(self, runs: list[np.ndarray], landmark: list[bool]) -> None:
+        """Add a language from the runs of its rows; a landmark is held out of the others."""
+        held = np.zeros(1 << BITS, np.int32)
+        for own, among in zip(runs, landmark):
+            held[own] += among
+        self.spelled.append(np.flatnonzero(held).astype(np.int32))
+        shares = [(held[own] > among).mean() for own, among in zip(runs, landmark) if len(own)]
+        self.usual.append(float(np.median(shares)) if shares else 0.0)
+
+    def fits(self, runs: np.ndarray, language: int) -> bool:
+        """Whether enough of a text's runs are known in a language."""
+        if self.known is None:
+            self.known = np.zeros((len(self.labels), 1 << BITS), bool)
+            for row, own in zip(self.known, self.spelled):
+                row[own] = True
+        common = int(self.known[language][runs].sum()) + ASSUMED
+        return common >= KNOWN * self.usual[language] * (len(runs) + ASSUMED)
 
     def prepare(self) -> None:
         """Columns for the buckets that occur in a landmark, and the landmarks as a matrix."""
@@ -116,7 +156,7 @@ def fit_languages(
 
     Rows without label or without a letter are not learned from, nor those
     ``where`` does not hold. The driver gets the n-gram buckets of the sample,
-    at most 2**18 for a text of any length. Equal tables give equal models,
+    at most 2**19 for a text of any length. Equal tables give equal models,
     whatever the order of rows.
     """
     rows = df.select(
@@ -128,8 +168,11 @@ def fit_languages(
     sample = class_sample(rows, "lang", F.col("doc_id"), learned)
     found = per_text(
         sample,
-        lambda texts: [[presence().of(t).astype(np.int32).tobytes() for t in texts]],
-        [StructField("grams", BinaryType())],
+        lambda texts: [
+            [presence().of(t).astype(np.int32).tobytes() for t in texts],
+            [presence().spelling(t).astype(np.int32).tobytes() for t in texts],
+        ],
+        [StructField("grams", BinaryType()), StructField("runs", BinaryType())],
         keep=(F.col("lang"), F.xxhash64("text").alias("tie")),
     ).collect()
     found.sort(key=lambda r: (r["lang"], str(r["doc_id"]), r["tie"]))
@@ -140,7 +183,10 @@ def fit_languages(
     sets = [np.frombuffer(r["grams"], np.int32) for r in found]
     for value in labels:
         own = [s for s, r in zip(sets, found) if r["lang"] == value]
-        model.landmarks.extend(own[:: max(1, len(own) // landmarks)][:landmarks])
+        runs = [np.frombuffer(r["runs"], np.int32) for r in found if r["lang"] == value]
+        taken = set(range(len(own))[:: max(1, len(own) // landmarks)][:landmarks])
+        model.landmarks.extend(own[i] for i in sorted(taken))
+        model.learn_spelling(runs, [i in taken for i in range(len(own))])
     targets = np.array([[1.0 if r["lang"] == v else -1.0 for v in labels] for r in found])
     model.fit(sets, targets)
     model.column = model.dense = None  # workers make them again from the landmarks
@@ -154,13 +200,15 @@ def predict_languages(
     id_column: str = "doc_id",
     text_column: str = "text",
     keep: tuple[Column, ...] = (),
+    outside: bool = False,
 ) -> DataFrame:
     """Columns id, ``keep``, lang_pred, score of each text.
 
     ``lang_pred`` is the language of the highest regression, the first in order
     among equals, and ``score`` that value moved from -1..1 to 0..1. A text that
     is null, empty or without a letter, and any text if nothing was learned, is
-    ``und`` with score 0. Whole texts count, whatever their length; repeated
+    ``und`` with score 0; with ``outside`` also one that is not spelled like the
+    rows of its language, unless it is a few letters long. Whole texts count, whatever their length; repeated
     rows get equal rows. Other columns are not read. No shuffle.
     """
 
@@ -172,6 +220,8 @@ def predict_languages(
             scores = model.scores([presence().of(texts[i]) for i in block])
             best = scores.argmax(axis=1)
             for i, b, row in zip(block, best, scores):
+                if outside and not model.fits(presence().spelling(texts[i]), b):
+                    continue
                 names[i] = model.labels[b]
                 values[i] = float(min(1.0, max(0.0, (row[b] + 1) / 2)))
         return [names, values]
