@@ -174,6 +174,59 @@ def test_digests_do_not_depend_on_neighbours(docs):
     assert rare_digest.likeness(together[0], together[0]) == 1.0
 
 
+def test_edits_of_short_texts_are_near(ready):
+    import random
+
+    draw = random.Random(3)
+    rows = []
+    for i, size in enumerate(list(range(24, 600, 3)) * 2):
+        text = ""
+        while len(text) < size:
+            text += "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(draw.randint(2, 9))) + " "
+        rows.append((i, text[:size]))
+    found = rare_digest.rare_digests(ready.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert r["near_edited"] > (0.1 if r["n_chars"] >= 48 else 0), (r["n_chars"], r["near_edited"])
+    assert sum(r["near_next"] > 0.1 for r in found) <= 0.02 * len(found)
+
+
+def further_features(text, rank):
+    """The further windows of one text that are the leftmost rarest of a run, one by one."""
+    import numpy as np
+
+    found = []
+    for kind, (window, below, run) in enumerate(rare_digest.FURTHER, 1):
+        windows = [text[i : i + window] for i in range(len(text) - window + 1)]
+        if not windows or len(text) >= below:
+            continue
+        whole = int(rare_digest.WEIGHT[window])
+        own = []
+        for w in windows:
+            used = int(rare_digest.WEIGHT[np.bincount(np.frombuffer(w, np.uint8))].sum())
+            own.append(int(rank[kind][(whole - used) * 1000 // whole]))
+        run = min(run, len(own))
+        best = {min(range(i, i + run), key=lambda j: (own[j], j)) for i in range(len(own) - run + 1)}
+        found.extend(windows[i] for i in sorted(best) if own[i] <= rare_digest.LEVELS)
+    return found
+
+
+def test_digests_of_short_texts_by_brute_force(docs):
+    import numpy as np
+
+    rank = rare_digest.level_ranks(docs)
+    texts = [t.encode()[:size] for t, size in zip(texts_of(docs), range(8, 64))]
+    texts = [t for t in texts if len(t) >= 8]
+    for text, made in zip(texts, rare_digest.fingerprints(texts, rank)):
+        bits = np.zeros(rare_digest.FILTER_BITS, np.uint8)
+        features = further_features(text, rank)
+        for feature in features:
+            value = int(rare_digest.mixed(np.frombuffer(feature, np.uint64)[None])[0])
+            for h in range(rare_digest.HASHES):
+                bits[value >> 11 * h & rare_digest.FILTER_BITS - 1] = 1
+        assert not features or made == np.packbits(bits).tobytes()
+
+
 # Shards
 
 

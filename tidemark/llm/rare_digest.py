@@ -6,6 +6,10 @@ of the rarest is counted, and windows counted often enough are features. Each
 feature sets five bits of the newest Bloom filter of the document's chain, and
 a full filter starts the next. Two chains are as near as their filters'
 common bits, less what chance gives, are to the most that could be common.
+
+Short texts have windows of 16 and 8 bytes besides, ranked among those of all
+short texts. The classes overlap, so that texts of about one length have a
+kind of feature in common.
 """
 
 from __future__ import annotations
@@ -39,6 +43,9 @@ FILTER_FEATURES = 160
 HASHES = 5
 SHORT = 512  # windows; a text with fewer is searched in shorter runs
 SHORT_RUN, SHORT_COUNTED = 16, 4
+# Bytes of the further windows of short texts, below how many bytes of text, and their run;
+# each that is the rarest once is a feature, so texts that share window + run - 1 bytes share one.
+FURTHER = ((16, 512, 8), (8, 64, 4))
 CHANCE = 0.1  # share of the way from chance to the most that still counts as nothing
 BLOCK_BYTES = 512 * 1024  # worked on at a time, or one document
 SCALE = 1024
@@ -49,20 +56,21 @@ STEP = WEIGHT[1:] - WEIGHT[:-1]
 WHOLE = int(WEIGHT[WINDOW])
 
 
-def levels(data: np.ndarray) -> np.ndarray:
+def levels(data: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """The entropy level of every window; windows may go over the ends of documents."""
-    size = len(data) - WINDOW + 1
+    whole = int(WEIGHT[window])
+    size = len(data) - window + 1
     before = np.zeros(len(data), np.uint8)
     after = np.zeros(len(data), np.uint8)
-    for lag in range(1, WINDOW):
+    for lag in range(1, window):
         same = (data[lag:] == data[:-lag]).view(np.uint8)
         before[lag:] += same
         after[:-lag] += same
     gained, lost = STEP[before], STEP[after]
     change = np.empty(size, np.int32)
-    change[0] = gained[:WINDOW].sum()
-    change[1:] = gained[WINDOW:] - lost[: size - 1]
-    return (WHOLE - np.cumsum(change, dtype=np.int32)) * np.int64(LEVELS) // WHOLE
+    change[0] = gained[:window].sum()
+    change[1:] = gained[window:] - lost[: size - 1]
+    return (whole - np.cumsum(change, dtype=np.int32)) * np.int64(LEVELS) // whole
 
 
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,25 +80,41 @@ def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(texts), np.uint8), ends - sizes, ends
 
 
-def level_counts(texts: list[bytes]) -> np.ndarray:
-    """How many windows of the texts have each level."""
+def within(texts: list[bytes], window: int, below: int) -> list[int]:
+    """Which texts have windows of a further kind."""
+    return [i for i, t in enumerate(texts) if window <= len(t) < below]
+
+
+def window_counts(texts: list[bytes], window: int) -> np.ndarray:
+    """How many windows of one size have each level."""
     data, starts, ends = joined(texts)
-    if len(data) < WINDOW:
+    if len(data) < window:
         return np.zeros(LEVELS + 1, np.int64)
-    found = levels(data)
+    found = levels(data, window)
     own = np.zeros(len(data) + 1, np.int32)
-    long = ends - starts >= WINDOW
+    long = ends - starts >= window
     np.add.at(own, starts[long], 1)
-    np.add.at(own, ends[long] - WINDOW + 1, -1)
+    np.add.at(own, ends[long] - window + 1, -1)
     return np.bincount(found[np.cumsum(own)[: len(found)] > 0], minlength=LEVELS + 1)
 
 
+def level_counts(texts: list[bytes]) -> np.ndarray:
+    """How many windows of the texts have each level; a row for each kind of window."""
+    counts = [window_counts(texts, WINDOW)]
+    for window, below, _ in FURTHER:
+        counts.append(window_counts([texts[i] for i in within(texts, window, below)], window))
+    return np.stack(counts)
+
+
 def ranks(counts: np.ndarray) -> np.ndarray:
-    """The rank of each level, the rarest first; the lower level among equals."""
-    order = np.argsort(counts, kind="stable")
-    found = np.empty(LEVELS + 1, np.int64)
-    found[order] = np.arange(LEVELS + 1)
-    found[:WEAK] = found[STRONG + 1 :] = LEVELS + 1
+    """The rank of each level among those of its kind, the rarest first; the lower among equals.
+
+    Short windows of bytes that all differ are no noise.
+    """
+    found = np.empty(counts.shape, np.int64)
+    for kind, row in enumerate(counts):
+        found[kind, np.argsort(row, kind="stable")] = np.arange(LEVELS + 1)
+    found[:, :WEAK] = found[0, STRONG + 1 :] = LEVELS + 1
     return found
 
 
@@ -127,8 +151,23 @@ def chosen(found: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.
     return np.concatenate(places), np.concatenate(owners)
 
 
+def winnowed(
+    found: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int, run: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """As ``chosen``, for a further kind: all windows that are the leftmost rarest of a run."""
+    places, owners = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for text, (start, end) in enumerate(zip(starts.tolist(), ends.tolist())):
+        own = (found[start : end - window + 1] << 32) | np.arange(start, end - window + 1)
+        runs = np.lib.stride_tricks.sliding_window_view(own, min(run, len(own)))
+        best = np.unique(runs.min(axis=1))
+        best = np.sort(best[best >> 32 <= LEVELS] & 0xFFFFFFFF)
+        places.append(best)
+        owners.append(np.full(len(best), text))
+    return np.concatenate(places), np.concatenate(owners)
+
+
 def mixed(rows: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each row of eight 64-bit numbers."""
+    """A 64-bit hash of each row of 64-bit numbers."""
     value = np.full(len(rows), 0x9E3779B97F4A7C15, np.uint64)
     for i in range(rows.shape[1]):
         value = (value ^ rows[:, i]) * np.uint64(0xBF58476D1CE4E5B9)
@@ -140,17 +179,28 @@ def mixed(rows: np.ndarray) -> np.ndarray:
 def fingerprints(texts: list[bytes], rank: np.ndarray) -> list[bytes]:
     """The chained filters of each text, one after the other.
 
-    A text without features, such as one below 64 bytes, is one feature itself;
+    A text without features, such as one below 8 bytes, is one feature itself;
     an empty text has no filter.
     """
     data, starts, ends = joined(texts)
     if len(data) >= WINDOW:
-        places, owners = chosen(rank[levels(data)], starts, ends)
+        places, owners = chosen(rank[0][levels(data)], starts, ends)
         rows = np.lib.stride_tricks.sliding_window_view(data, WINDOW)[places]
         hashes = mixed(np.ascontiguousarray(rows).view(np.uint64))
     else:
         owners = np.empty(0, np.int64)
         hashes = np.empty(0, np.uint64)
+    for kind, (window, below, run) in enumerate(FURTHER, 1):
+        some = within(texts, window, below)
+        if not some:
+            continue
+        data, starts, ends = joined([texts[i] for i in some])
+        places, of = winnowed(rank[kind][levels(data, window)], starts, ends, window, run)
+        rows = np.lib.stride_tricks.sliding_window_view(data, window)[places]
+        hashes = np.concatenate([hashes, mixed(np.ascontiguousarray(rows).view(np.uint64))])
+        owners = np.concatenate([owners, np.array(some)[of]])
+    order = np.argsort(owners, kind="stable")
+    hashes, owners = hashes[order], owners[order]
     counts = np.bincount(owners, minlength=len(texts))
     lone = [i for i, t in enumerate(texts) if t and not counts[i]]
     if lone:
@@ -215,28 +265,28 @@ def blocks(rows: Iterator, size) -> Iterator[list]:
 
 
 def level_ranks(df: DataFrame, text_column: str = "text") -> np.ndarray:
-    """The rank of each entropy level among all windows of all texts.
+    """The rank of each entropy level among all windows of all texts, a row for each kind.
 
-    Tasks count levels; the counts, ``LEVELS + 1`` numbers, are summed by Spark.
+    Tasks count levels; the counts, ``LEVELS + 1`` numbers for each kind, are summed by Spark.
     """
     ship(df.sparkSession.sparkContext.applicationId)
     schema = StructType([StructField("level", IntegerType()), StructField("n", LongType())])
     arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(LEVELS + 1, np.int64)
+        total = np.zeros((1 + len(FURTHER), LEVELS + 1), np.int64)
         texts = (t for b in batches for t in b.column(0).to_pylist())
         for block in blocks(texts, len):
             total += level_counts(block)
         held = np.flatnonzero(total)
-        columns = [pa.array(held.astype(np.int32)), pa.array(total[held])]
+        columns = [pa.array(held.astype(np.int32)), pa.array(total.ravel()[held])]
         yield pa.RecordBatch.from_arrays(columns, schema=arrow)
 
     source = df.select(F.coalesce(F.col(text_column), F.lit("")).cast("binary").alias("text"))
-    counts = np.zeros(LEVELS + 1, np.int64)
+    counts = np.zeros((1 + len(FURTHER)) * (LEVELS + 1), np.int64)
     for row in source.mapInArrow(run, schema).groupBy("level").agg(F.sum("n").alias("n")).collect():
         counts[row["level"]] = row["n"]
-    return ranks(counts)
+    return ranks(counts.reshape(-1, LEVELS + 1))
 
 
 def followed(
