@@ -125,6 +125,25 @@ def test_words_close_together(ready):
     assert [tuple(r) for r in near.collect()] == [("i", 1, 1)]
 
 
+def test_three_words_close_together_whatever_the_neighbours(ready):
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = ready.conf.get(size)
+    found = []
+    try:
+        for other in ("red red", "and and", "fox fox"):
+            for rows in ("1", "1000"):
+                ready.conf.set(size, rows)
+                texts = [(1, "red a b and c d fox"), (2, other), (3, other)]
+                frame = ready.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+                index = ready.read.parquet(phrase_index.build_index(frame, new_scratch_path(ready, "index")))
+                for slack in (3, 5, 6):
+                    near = phrase_index.find_near(index, [("i", [b"red", b"and", b"fox"])], slack=slack)
+                    found.append((slack, [tuple(r) for r in near.collect()]))
+    finally:
+        ready.conf.set(size, before)
+    assert found == [(3, []), (5, []), (6, [("i", 1, 1)])] * 6
+
+
 # Fingerprints
 
 

@@ -171,22 +171,25 @@ class Segment:
         return found
 
     def near(self, terms: list[bytes], slack: int) -> np.ndarray:
-        """Positions of the rarest term that has every other within ``slack`` words, in one document."""
+        """Where the spans of at most ``slack`` + 1 words start that have all terms, in one document.
+
+        Of spans that end at one word the shortest counts.
+        """
         lists = sorted(self.of(terms), key=len)
-        at = lists[0]
-        document = np.searchsorted(self.starts, at, "right")
-        for other in lists[1:]:
-            if not len(at) or not len(other):
-                return self.NONE
-            after = np.searchsorted(other, at)
-            close = np.zeros(len(at), bool)
-            for side in (np.minimum(after, len(other) - 1), np.maximum(after - 1, 0)):
-                there = other[side]
-                close |= (np.abs(there - at) <= slack) & (
-                    np.searchsorted(self.starts, there, "right") == document
-                )
-            at, document = at[close], document[close]
-        return at
+        if not len(lists[0]):
+            return self.NONE
+        start = np.unique(np.concatenate(lists))
+        end = start
+        for own in lists:  # the rarest first leaves the fewest starts
+            at = np.searchsorted(own, start)
+            inside = at < len(own)
+            start, end, at = start[inside], end[inside], at[inside]
+            end = np.maximum(end, own[at])
+            close = end - start <= slack
+            start, end = start[close], end[close]
+        same = np.searchsorted(self.starts, start, "right") == np.searchsorted(self.starts, end, "right")
+        start, end = start[same], end[same]
+        return start[np.append(end[1:] != end[:-1], True)] if len(start) else self.NONE
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[Segment]:
@@ -284,8 +287,8 @@ def find_near(
 ) -> DataFrame:
     """Columns item, id, n_places: documents in which all words of an item lie close together.
 
-    A place is an occurrence of the item's rarest word in the segment that has
-    each of the other words within ``slack`` words.
+    A place is a span that has every word of the item and whose first and last
+    word are at most ``slack`` words apart; of those with one end the shortest.
     """
     ship(index.sparkSession.sparkContext.applicationId)
     schema = StructType(
