@@ -11,6 +11,7 @@ from tidemark.llm import (
     hilbert_shards,
     language_kernel,
     line_dedup,
+    part_codes,
     phrase_index,
     quality_votes,
     rare_digest,
@@ -19,8 +20,10 @@ from tidemark.llm import (
     tensor_minhash,
     token_count,
     token_files,
+    whitening,
 )
 from tidemark.llm.common import documents, remainder
+from tidemark.llm.vectors import embeddings
 from tidemark.session import configure, new_scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -120,6 +123,16 @@ def op10_tensor_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return tensor_minhash.near_duplicates(docs, shingle=3, percent=85)
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings along their eight leading singular directions, with unit covariance."""
+    return whitening.whitened_components(embeddings(spark, folder))
+
+
+def op13_part_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings as 16 codes of codebooks of 64 entries after two exact rounds."""
+    return part_codes.part_codes(embeddings(spark, folder))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -133,6 +146,8 @@ QUERIES: dict[str, Query] = {
         op8_rare_digest,
         op9_hilbert_shards,
         op10_tensor_minhash,
+        op11_whitening,
+        op13_part_codes,
     )
 }
 
@@ -140,4 +155,5 @@ ORACLE_SQL: dict[str, str] = {
     "op6_line_dedup": sql.LINES,
     "op7_phrase_index": sql.PHRASES,
     "op10_tensor_minhash": sql.NEAR_DUPLICATES,
+    "op13_part_codes": sql.PART_CODES,
 }

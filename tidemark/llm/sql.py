@@ -70,3 +70,41 @@ select doc_id, cast(len(parts) as bigint) as n_lines, coalesce(n, 0) as n_remove
        coalesce(removed, '') as removed
 from p left join gone using (doc_id)
 """
+
+_AWAY = " + ".join(f"(x[{i}] - c[{i}]) * (x[{i}] - c[{i}])" for i in range(1, 5))
+
+
+def _rounds(rounds: int) -> str:
+    """Assignments a0, a1, .. and the codebooks b1, b2, .. they lead to, from b0."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(
+            f"a{r} as (select p, row, arg_min(k, ({_AWAY}) * 64 + k) as k, min({_AWAY}) as d\n"
+            f"       from cut join b{r} using (p) group by p, row)"
+        )
+        if r < rounds:
+            means = ", ".join(f"(s{i} - ((s{i} % n) + n) % n) // n" for i in range(1, 5))
+            sums = ", ".join(f"sum(x[{i}])::bigint as s{i}" for i in range(1, 5))
+            steps.append(
+                f"m{r} as (select p, k, count(*) as n, {sums} from a{r} join cut using (p, row) group by p, k),\n"
+                f"b{r + 1} as (select p, k, case when n is null then c else [{means}] end as c\n"
+                f"       from b{r} left join m{r} using (p, k))"
+            )
+    return ",\n".join(steps)
+
+
+PART_CODES = f"""
+with kept as (select vec_id, label, row_number() over (order by vec_id, embedding) as row,
+                     list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+              from embeddings where embedding is not null
+                and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+cut as (select row, p, v[4 * p + 1:4 * p + 4] as x from kept, unnest(range(16)) t(p)),
+b0 as (select p, row - 1 as k, x as c from cut where row <= 64),
+{_rounds(2)},
+coded as (select row, string_agg(printf('%02x', k), '' order by p) as code, sum(d)::bigint as error
+          from a2 group by row),
+book as (select sha256(string_agg(array_to_string(c, ','), ',' order by p, k)) as digest from b2)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+       digest as codebooks_sha256
+from kept join coded using (row), book
+"""
