@@ -20,9 +20,10 @@ from tidemark.llm import (
     tensor_minhash,
     token_count,
     token_files,
+    url_templates,
     whitening,
 )
-from tidemark.llm.common import documents, remainder
+from tidemark.llm.common import documents, prepared, remainder
 from tidemark.llm.vectors import embeddings
 from tidemark.session import configure, new_scratch_path
 
@@ -128,6 +129,23 @@ def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened_components(embeddings(spark, folder))
 
 
+# The rules of the contract.
+URL_RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
+
+
+def op12_url_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all urls, by rule or by the template of their path."""
+    pages = prepared(configure(spark)).read.parquet(f"{folder}/pages.parquet")
+    configure(spark, pages)
+    return url_templates.judge_urls(pages, URL_RULES)
+
+
 def op13_part_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Embeddings as 16 codes of codebooks of 64 entries after two exact rounds."""
     return part_codes.part_codes(embeddings(spark, folder))
@@ -147,6 +165,7 @@ QUERIES: dict[str, Query] = {
         op9_hilbert_shards,
         op10_tensor_minhash,
         op11_whitening,
+        op12_url_templates,
         op13_part_codes,
     )
 }
