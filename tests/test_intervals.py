@@ -17,7 +17,8 @@ from tidemark.operators import (
     overlap_join,
     point_in_interval_join,
 )
-from tidemark.operators.skew import slot_of
+from tidemark.operators import intervals, skew
+from tidemark.operators.skew import LEVELS, ancestors, cover, slot_of
 
 DAY_ZERO = date(1985, 1, 1)
 
@@ -190,6 +191,62 @@ def test_hot_key_is_never_compared_with_all(spark):
     assert got == brute_overlap(left, right, True) and got
 
 
+@pytest.mark.parametrize("slots", [1, 2, 3, 7, 8, 21])
+def test_each_slot_is_covered_once(spark, slots):
+    levels = F.lit((slots).bit_length() - 1).alias(LEVELS)
+    spans = spark.range(slots).withColumnRenamed("id", "a").crossJoin(
+        spark.range(slots).withColumnRenamed("id", "b")
+    )
+    spans = spans.select(F.col("a").cast("int"), F.col("b").cast("int"), levels)
+    covers = spans.select("a", "b", cover(F.col("a"), F.col("b"), 1).alias("nodes")).collect()
+    above = {
+        r.a: set(r.nodes)
+        for r in spans.filter("b = 0").select("a", ancestors(F.col("a"), 1).alias("nodes")).collect()
+    }
+    for r in covers:
+        assert len(r.nodes) <= 2 * slots.bit_length() and 0 not in r.nodes
+        for slot in range(slots):
+            assert len(set(r.nodes) & above[slot]) == (r.a <= slot <= r.b)
+
+
+def open_ended(spark, n):
+    starts = F.date_add(F.lit(DAY_ZERO), (F.col("id") * 9000 / n).cast("int"))
+    return spark.range(n).select(
+        F.lit(1).alias("k"), "id", starts.alias("from_date"), F.lit(OPEN_END).alias("to_date")
+    )
+
+
+def test_long_intervals_of_a_hot_key_are_repeated_little(spark):
+    """Rows after the split grow as n log n, not with the square."""
+    counts = []
+    for n in (20_000, 100_000):
+        history = open_ended(spark, n)
+        heavy = heavy_slots([history], ["k"])
+        spanned = lambda: intervals._spanned("from_date", "to_date", 1)
+        counts.append(intervals._placed(history, ["k"], heavy, spanned).count())
+    assert counts[1] < 600_000 and counts[1] < 9 * counts[0]
+
+
+def test_points_in_long_intervals_of_a_hot_key(spark):
+    history = open_ended(spark, 20_000)
+    points = history.filter("id % 400 = 0").select("k", F.col("from_date").alias("at"))
+    heavy = heavy_slots([history], ["k"])
+    found = [
+        point_in_interval_join(points, history, "k", "at", heavy=h).groupBy("at").count().collect()
+        for h in (heavy, False)
+    ]
+    assert sorted(map(repr, found[0])) == sorted(map(repr, found[1])) and len(found[0]) == 50
+
+
+def test_keys_with_few_pairs_are_not_split(spark, monkeypatch):
+    history = open_ended(spark, 3_000)
+    few = history.limit(10)
+    assert heavy_slots([history], ["k"], against=few) is None
+    monkeypatch.setattr(skew, "HEAVY_PAIRS", 29_999)
+    assert heavy_slots([history], ["k"], against=few).count() == 1
+    assert heavy_slots([history], ["k"], against=few.filter("false")) is None
+
+
 def test_open_and_closed_rows(spark):
     df = table(
         spark,

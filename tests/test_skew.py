@@ -53,7 +53,7 @@ def easily_heavy(monkeypatch):
         found.append(heavy)
         return heavy
 
-    def slots_of(frames, keys, start="from_date", min_rows=None):
+    def slots_of(frames, keys, start="from_date", min_rows=None, against=None):
         heavy = heavy_slots(frames, keys, start, 4)
         found.append(heavy)
         return heavy

@@ -7,18 +7,27 @@ otherwise, where adaptive execution splits a partition that is too large on
 either side.
 
 What a split cannot cure is a key with many intervals on the right, as every
-left row of the key is compared with all of them. Such keys (``heavy_slots``)
-are joined on key *and* slot: slots are cut from the days of the key's own right
-rows, an interval is repeated for each slot it touches, and a pair counts only
-in the slot in which it begins to exist, so each pair is found exactly once.
-All other keys sit in slot 0 and are not repeated. The search for heavy keys
-runs when the join is built, over key and start of the right side. Give the
-side with fewer rows per key as the right one.
+left row of the key is compared with all of them. The days of such keys
+(``heavy_slots``) are cut into slots, which are the leaves of a binary tree. An
+interval stands at the few nodes that together span its slots (``cover``), a day
+at all nodes above its slot (``ancestors``): a day and an interval that holds it
+meet at exactly one node, and rows grow by the logarithm of the slots, however
+long the intervals are.
+
+Two intervals overlap if one holds the day on which the other one starts. So an
+overlap join of a heavy key is the sum of two such searches: right starts in
+left intervals, and left starts in right intervals that start before. Both are
+one join on key and node, since the node's number also says which of the two it
+is for; rows of all other keys stand at node 0 and are not repeated.
+
+The search for heavy keys runs when the join is built, over the keys of the
+right side and, if any are found, of the left one. Give the side with fewer rows
+per key as the right one.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -26,9 +35,20 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.dates import days_between, earlier_of, is_open, later_of
 from tidemark.model import AS_OF
-from tidemark.operators.skew import BOUNDS, FIRSTS, heavy_slots, slot_of
-
+from tidemark.operators.skew import (
+    BOUNDS,
+    FIRSTS,
+    LEVELS,
+    ancestors,
+    cover,
+    heavy_slots,
+    slot_of,
+)
+
+NODE = "_node"
 SLOT = "_slot"
+# Kinds of nodes: which side's start is looked for in the other side's intervals.
+RIGHT_START, LEFT_START = 1, 2
 
 
 def close_open_intervals(df: DataFrame, end: str = "to_date", as_of: date = AS_OF) -> DataFrame:
@@ -44,14 +64,14 @@ def _key_list(key: str | Sequence[str], left: DataFrame, right: DataFrame) -> li
     return keys
 
 
-def _slotted(
-    df: DataFrame, keys: list[str], heavy: DataFrame, first: str, last: str, low: str
-) -> DataFrame:
-    """Add the slot column and the lowest slot; rows of heavy keys are repeated for each slot."""
-    lowest = slot_of(F.col(first))
-    slots = F.sequence(F.col(low), slot_of(F.greatest(F.col(first), F.col(last))))
-    bounded = df.join(heavy, keys, "left").withColumn(low, lowest)
-    return bounded.withColumn(SLOT, F.explode(slots)).drop(BOUNDS, FIRSTS)
+def _placed(df: DataFrame, keys: list[str], heavy: DataFrame, nodes: Callable[[], Column]) -> DataFrame:
+    """``df`` with the column of nodes: 0 for most keys, a row for each node for heavy ones."""
+    only = F.when(F.col(LEVELS).isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(nodes())
+    return df.join(heavy, keys, "left").withColumn(NODE, F.explode(only)).drop(BOUNDS, FIRSTS, LEVELS)
+
+
+def _spanned(start: str, end: str, kind: int) -> Column:
+    return cover(slot_of(F.col(start)), slot_of(F.col(end)), kind)
 
 
 def overlap_join(
@@ -72,7 +92,7 @@ def overlap_join(
     """
     keys = _key_list(key, left, right)
     if heavy is None:
-        heavy = heavy_slots([right], keys, start)
+        heavy = heavy_slots([right], keys, start, against=left)
     shared = (set(left.columns) & set(right.columns)) - set(keys)
     left = left.withColumnsRenamed({c: c + suffixes[0] for c in shared})
     right = right.withColumnsRenamed({c: c + suffixes[1] for c in shared})
@@ -86,12 +106,20 @@ def overlap_join(
         meets = (F.col(from_l) <= F.col(to_r)) & (F.col(to_l) >= F.col(from_r))
 
     if isinstance(heavy, DataFrame):
-        left = _slotted(left, keys, heavy, from_l, to_l, "_low_left")
-        right = _slotted(right, keys, heavy, from_r, to_r, "_low_right")
-        # The later start has the later slot, so it is that of the pair's beginning.
-        meets = meets & (F.col(SLOT) == F.greatest("_low_left", "_low_right"))
-        pairs = left.join(right, [*keys, SLOT]).filter(meets)
-        pairs = pairs.drop(SLOT, "_low_left", "_low_right")
+
+        def of_left() -> Column:
+            own = ancestors(slot_of(F.col(from_l)), LEFT_START)
+            return F.concat(_spanned(from_l, to_l, RIGHT_START), own)
+
+        def of_right() -> Column:
+            own = ancestors(slot_of(F.col(from_r)), RIGHT_START)
+            return F.concat(_spanned(from_r, to_r, LEFT_START), own)
+
+        kind, right_later = F.col(NODE) % 3, F.col(from_r) >= F.col(from_l)
+        once = (kind == 0) | ((kind == RIGHT_START) == right_later)
+        left = _placed(left, keys, heavy, of_left)
+        right = _placed(right, keys, heavy, of_right)
+        pairs = left.join(right, [*keys, NODE]).filter(meets & once).drop(NODE)
     else:
         pairs = left.join(right, keys).filter(meets)
 
@@ -114,12 +142,12 @@ def point_in_interval_join(
     """Pairs with equal key where ``start <= at <= end``.
 
     The interval columns of ``history`` are dropped. With ``keep_slot`` and an
-    explicit ``heavy`` a chain of such joins shares one partitioning of the
-    points, also where heavy keys are split.
+    explicit ``heavy`` a chain of such joins looks up the slots of the points
+    once; if there are no heavy keys, it shares one partitioning of them.
     """
     keys = _key_list(key, points, history)
     if heavy is None:
-        heavy = heavy_slots([history], keys, start)
+        heavy = heavy_slots([history], keys, start, against=points)
     low, high = "_interval_start", "_interval_end"
     history = history.withColumnsRenamed({start: low, end: high})
     inside = F.col(at).between(F.col(low), F.col(high))
@@ -128,6 +156,8 @@ def point_in_interval_join(
     if SLOT not in points.columns:
         points = points.join(heavy, keys, "left").withColumn(SLOT, slot_of(F.col(at)))
         points = points.drop(BOUNDS, FIRSTS)
-    history = _slotted(history, keys, heavy, low, high, "_low")
-    pairs = points.join(history, [*keys, SLOT]).filter(inside).drop(low, high, "_low")
-    return pairs if keep_slot else pairs.drop(SLOT)
+    only = F.when(F.col(LEVELS).isNull(), F.array(F.lit(0).cast("bigint")))
+    points = points.withColumn(NODE, F.explode(only.otherwise(ancestors(F.col(SLOT), RIGHT_START))))
+    history = _placed(history, keys, heavy, lambda: _spanned(low, high, RIGHT_START))
+    pairs = points.join(history, [*keys, NODE]).filter(inside).drop(low, high, NODE)
+    return pairs if keep_slot else pairs.drop(SLOT, LEVELS)

@@ -110,7 +110,7 @@ def salary_trends(
     The joins on emp_no follow each other, so each table moves once; the
     department name is looked up on the sums, which can be added further.
     """
-    heavy = heavy_slots([dept_emp, titles], ["emp_no"])
+    heavy = heavy_slots([dept_emp, titles], ["emp_no"], against=salaries)
     options = {"heavy": False if heavy is None else heavy, "keep_slot": True}
     paid = salaries.select("emp_no", "salary", F.col("from_date").alias("paid_from")).join(
         employees.select("emp_no"), "emp_no", "left_semi"
