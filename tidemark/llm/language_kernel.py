@@ -18,10 +18,10 @@ Neither depends on the number of languages.
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass, field
 
 import numpy as np
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField
@@ -35,7 +35,7 @@ LANDMARKS = 40  # of each language
 LEARNED = 400  # rows of each language the regression is fitted on, landmarks included
 RIDGE = 1e-2
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 ROWS = 128  # of a matrix product
 SPELLED = 4  # bytes of a run of letters
 KNOWN = 0.5  # of the usual share of known runs, what a text of a language has at least
@@ -125,8 +125,16 @@ class LanguageModel:
         return rows @ self.dense / norms[:, None] / self.norms
 
     def scores(self, sets: list[np.ndarray]) -> np.ndarray:
-        near = self.kernel(sets).astype(np.float64)
-        return np.hstack([near, np.ones((len(sets), 1))]) @ self.weights
+        """The regressions for at most ``ROWS`` sets.
+
+        The kernel is a product of zeros and ones, so exact; what it is weighted
+        with is added in one order, as the block always has the same shape. So
+        a set's scores do not depend on the others.
+        """
+        near = np.zeros((ROWS, len(self.weights)))
+        near[: len(sets), :-1] = self.kernel(sets)
+        near[:, -1] = 1
+        return np.add.reduce(near[:, :, None] * self.weights[None], axis=1)[: len(sets)]
 
     def fit(self, sets: list[np.ndarray], targets: np.ndarray) -> None:
         own = self.kernel(self.landmarks).astype(np.float64)

@@ -27,6 +27,8 @@ NEIGHBOURS = 25
 POWER = 4.0
 THRESHOLD = 0.3
 ROWS = 256  # of a matrix product
+# Vectors are whole numbers of this unit, so that sums of their products are exact in any order.
+UNIT = 2.0**-11
 
 # Kind of each byte: other sign, space, digit, capital, small letter, beyond ASCII.
 KINDS = np.zeros(256, np.uint8)
@@ -73,16 +75,33 @@ class QualityModel:
     labels: np.ndarray | None = None
 
     def latent(self, rows: np.ndarray) -> np.ndarray:
-        vectors = (rows * self.weight) @ self.projection
-        norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-        return vectors / np.maximum(norms, 1e-9)
+        """Unit vectors in multiples of ``UNIT``; products are always of ``ROWS`` rows.
+
+        So a row's vector does not depend on the rows beside it.
+        """
+        found = []
+        for first in range(0, len(rows), ROWS):
+            block = np.zeros((ROWS, rows.shape[1]), np.float32)
+            held = rows[first : first + ROWS]
+            block[: len(held)] = held
+            vectors = ((block * self.weight) @ self.projection)[: len(held)]
+            norms = np.sqrt((vectors.astype(np.float64) ** 2).sum(axis=1, keepdims=True))
+            found.append(np.rint(vectors / np.maximum(norms, 1e-9) / UNIT).astype(np.float32))
+        return np.concatenate(found) if found else np.zeros((0, self.projection.shape[1]), np.float32)
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        near = self.latent(rows) @ self.vectors.T
-        k = min(NEIGHBOURS, near.shape[1])
-        top = np.argpartition(near, -k, axis=1)[:, -k:]
-        weight = np.maximum(np.take_along_axis(near, top, axis=1), 1e-6).astype(np.float64) ** POWER
-        return np.clip((weight * self.labels[top]).sum(axis=1) / weight.sum(axis=1), 0, 1)
+        """The weighted votes of the nearest, of equally near ones those first in order."""
+        near = (self.latent(rows) @ self.vectors.T).astype(np.int64)
+        k, labelled = min(NEIGHBOURS, near.shape[1]), near.shape[1]
+        rank = near * labelled + np.arange(labelled)[::-1]
+        top = np.sort(np.argpartition(rank, -k, axis=1)[:, -k:], axis=1)
+        cosine = np.take_along_axis(near, top, axis=1) * UNIT**2
+        weight = np.maximum(cosine, 1e-6) ** POWER
+        votes, total = np.zeros(len(rows)), np.zeros(len(rows))
+        for j in range(k):  # in one order, whatever the number of rows
+            votes += weight[:, j] * self.labels[top[:, j]]
+            total += weight[:, j]
+        return np.clip(votes / total, 0, 1)
 
 
 def leading(rows: np.ndarray, dimensions: int) -> np.ndarray:
