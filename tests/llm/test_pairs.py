@@ -9,7 +9,15 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm_frames import FOLDER, LONG, texts_of
-from tidemark.llm import hilbert_shards, line_dedup, phrase_index, queries, rare_digest, tensor_minhash
+from tidemark.llm import (
+    hilbert_shards,
+    line_dedup,
+    phrase_index,
+    queries,
+    rare_digest,
+    shingles,
+    tensor_minhash,
+)
 from tidemark.llm.components import components
 from tidemark.session import new_scratch_path
 
@@ -387,3 +395,27 @@ def test_components(ready):
     want = {**{i: 1 for i in [*range(1, 61), 100]}, 200: 200, 201: 200}
     assert {r["id"]: r["component"] for r in found} == want and len(found) == len(want)
     assert components(ready.createDataFrame([], "u long, v long")).count() == 0
+
+
+def thue_morse(size):
+    """A word and its complement, whose sums of bytes times powers are equal modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", (1024, 4096))
+def test_words_made_to_collide_are_told_apart(ready, size):
+    a, b = thue_morse(size)
+    rows = ready.createDataFrame([(1, f"{a} one two"), (2, f"{b} one two")], "doc_id long, text string")
+    found = tensor_minhash.near_duplicates(rows, shingle=3, percent=85).collect()
+    assert {r["component_id"] for r in found} == {1, 2}
+    assert line_dedup.removed_lines(rows).count() == 0
+
+
+def test_hash_depends_on_every_byte_and_place():
+    words = [b"", b"a", b"aa", b"a" * 8, b"a" * 9, b"a" * 16, b"a" * 17, b"b" + b"a" * 16, b"a" * 16 + b"b"]
+    words += [b"a" * 8 + b"b" * 8, b"b" * 8 + b"a" * 8, b"abcdefgh" * 3, b"\x00", b"a\x00", b"\x00a"]
+    hashes, starts, owner = shingles.word_hashes(words)
+    assert len(set(hashes.tolist())) == len(words) - 1  # the empty text has no word
+    alone = [shingles.word_hashes([w])[0].tolist() for w in words]
+    assert sum(alone, []) == hashes.tolist() and owner.tolist() == list(range(1, len(words)))

@@ -119,18 +119,20 @@ def line_sets(source: DataFrame, rank: np.ndarray, percent: int) -> DataFrame:
         order = np.argsort(keys)
         small = line[order].astype(np.uint16 if len(line_ends) < 65536 else np.int64)
         order = order[np.argsort(small, kind="stable")]
-        keys, line = keys[order], line[order]
+        keys, hashes, line = keys[order], hashes[order], line[order]
         if len(keys):
-            new = np.concatenate([[True], (keys[1:] != keys[:-1]) | (line[1:] != line[:-1])])
-            keys, line = keys[new], line[new]
+            new = (keys[1:] != keys[:-1]) | (hashes[1:] != hashes[:-1]) | (line[1:] != line[:-1])
+            new = np.concatenate([[True], new])
+            keys, hashes, line = keys[new], hashes[new], line[new]
         first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(keys) else []
         first = np.asarray(first, np.int64)
         held = line[first]
         n = np.diff(np.concatenate([first, [len(keys)]]))
         mixed = mix(keys)
         if len(first):
-            d1 = np.add.reduceat(mixed, first)
-            d2 = np.add.reduceat(mix(mixed + np.uint64(1)), first)
+            whole = mix(hashes)
+            d1 = np.add.reduceat(whole, first)
+            d2 = np.add.reduceat(mix(whole + np.uint64(1)), first)
             bit = np.uint64(1) << (mixed & np.uint64(63))
             part = (mixed >> np.uint64(6)) % np.uint64(len(MAPS))
             part[np.repeat(n < LONG, n)] = 0

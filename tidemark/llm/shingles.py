@@ -1,8 +1,9 @@
 """Hashes of words, and of runs of words, of many texts at once.
 
-A word's hash is a sum over its bytes of a random number of the byte times a
-power that depends on its place, taken from running sums, so that all words of
-a block of texts are hashed by a few array operations.
+A word is read in lanes of eight bytes, each mixed with the number of its place
+before the lanes are added up, and the sum is mixed with the word's length. So
+no words are known whose hashes are equal, as there are for sums over bytes, and
+all words of a block of texts are hashed by a few array operations.
 """
 
 from __future__ import annotations
@@ -16,20 +17,9 @@ from tidemark.llm.common import turn
 BLOCK_BYTES = 512 * 1024  # of texts that are hashed together, or one text
 
 _ODD = 0x9E3779B97F4A7C15
-_random = np.random.default_rng(20_240_101)
-OF_BYTE = _random.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: dict[str, np.ndarray] = {}
-
-
-def _power(size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number and of its inverse modulo 2**64."""
-    if not _powers or len(_powers["up"]) < size:
-        steps = np.full(max(size, 2 * BLOCK_BYTES), _ODD, np.uint64)
-        steps[0] = 1
-        _powers["up"] = np.cumprod(steps)
-        steps[1:] = pow(_ODD, -1, 1 << 64)
-        _powers["down"] = np.cumprod(steps)
-    return _powers["up"], _powers["down"]
+LANE = 8
+# Which bytes of a lane belong to the word, by how many are left of it.
+MASKS = np.array([(1 << (8 * n)) - 1 for n in range(LANE + 1)], np.uint64)
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -58,6 +48,21 @@ def blocks(rows: Iterable, size) -> Iterator[list]:
         yield held
 
 
+def _lane_sums(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """For each word the sum of its mixed lanes."""
+    padded = np.concatenate([data, np.zeros(LANE, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    if not len(sizes) or sizes.max() <= LANE:
+        return mix((lanes[starts] & MASKS[sizes]) + np.uint64(_ODD))
+    count = -(-sizes // LANE)
+    first = np.cumsum(count) - count
+    place = np.arange(count.sum()) - np.repeat(first, count)
+    left = np.minimum(np.repeat(sizes, count) - LANE * place, LANE)
+    held = lanes[np.repeat(starts, count) + LANE * place] & MASKS[left]
+    mixed = mix(held + (place + 1).astype(np.uint64) * np.uint64(_ODD))
+    return np.add.reduceat(mixed, first)
+
+
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of all words of the texts, A to Z lower-cased: hash, first byte, number of the text.
 
@@ -69,10 +74,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     inside = np.concatenate([[False], ~SPACES[data], [False]])
     turns = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = turns[::2], turns[1::2]
-    up, down = _power(len(data) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(OF_BYTE[data] * up[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
+    hashes = mix(_lane_sums(data, starts, ends - starts) ^ (ends - starts).astype(np.uint64))
     return hashes, starts, np.searchsorted(starts_of_texts, starts, "right") - 1
 
 
