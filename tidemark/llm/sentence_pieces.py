@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import sentencepiece
@@ -23,8 +25,9 @@ from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, Stru
 from tidemark.llm.common import Memo, kept, per_text, vocabulary
 
 VOCABULARY = "piece_bpe_32k.model"
-# Words kept with their ids in a Python worker, so that memory stays bounded.
+# Pairs of pieces, parts of words, and words kept in a Python worker, so that memory stays bounded.
 CACHED = 150_000
+CACHED_WORDS = 400_000
 SPACE = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -53,7 +56,10 @@ class Pieces:
                 self.score[piece] = model.get_score(i)
             self.text_of.append(piece)
         self.fits_memo: dict[tuple[str, str], bool] = {}
+        self.shown = {piece: str(i) for piece, i in self.id_of.items()}
         self.of_chunk = Memo(self.chunk_digest, CACHED)
+        self.of_word = Memo(lambda word: self._word_digest(f" {word}"), CACHED_WORDS)
+        self.of_first = Memo(self._word_digest, CACHED)
         # What merging the text of a piece does not give back is never a result.
         reached = [p for p in self.id_of if len(p) == 1 or self.merge(p) == [p]]
         self.longest = ahocorasick.Automaton()
@@ -200,15 +206,45 @@ class Pieces:
         return "".join(parts).replace(SPACE, " ")
 
     def chunk_digest(self, chunk: str) -> tuple[int, str, str]:
-        ids = self.ids(self.chunk(chunk))
-        return len(ids), " ".join(map(str, ids)), self._joined(ids)
+        """Number of ids, the ids as text, and what they decode to."""
+        taken = self.chunk(chunk)
+        try:
+            return len(taken), " ".join([self.shown[piece] for piece in taken]), chunk
+        except KeyError:  # bytes stand for a piece
+            ids = self.ids(taken)
+            return len(ids), " ".join(map(str, ids)), self._joined(ids)
+
+    def _word_digest(self, word: str) -> tuple[int, str, str]:
+        """The same of what stands between two spaces, cut into its chunks."""
+        chunks = self.cuts.findall(word)
+        if len(chunks) == 1:
+            return self.chunk_digest(chunks[0])
+        return self._together(map(self.of_chunk.__getitem__, chunks))
+
+    @staticmethod
+    def _together(parts: Iterable[tuple[int, str, str]]) -> tuple[int, str, str]:
+        counts, shown, decoded = zip(*parts)
+        return sum(counts), " ".join(shown), "".join(decoded)
+
+    def _line_digest(self, line: str) -> Iterator[tuple[int, str, str]]:
+        """Words are looked up whole; a line with spaces side by side is cut."""
+        first, *words = line.split(" ")
+        if "" in words:
+            return map(self.of_chunk.__getitem__, self.cuts.findall(line))
+        found = map(self.of_word.__getitem__, words)
+        return chain([self.of_first[first]], found) if first else found
 
     def digest(self, text: str) -> tuple[int, str, str]:
         """Ids with the end id, counted and joined by a space; and the decoded text."""
         if not text:
             return 1, str(self.end), ""
-        counts, shown, decoded = zip(*map(self.of_chunk.__getitem__, self._chunks(text)))
-        return sum(counts) + 1, f"{' '.join(shown)} {self.end}", "".join(decoded)[1:]
+        first, *lines = (" " + text.replace(SPACE, " ")).split("\n")
+        parts = [*self._line_digest(first)]
+        for line in lines:
+            parts.append(self.of_chunk["\n"])
+            parts.extend(self._line_digest(line))
+        count, shown, decoded = self._together(parts)
+        return count + 1, f"{shown} {self.end}", decoded[1:]
 
 
 @kept

@@ -27,15 +27,16 @@ from tidemark.llm.token_count import byte_symbols
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 # Words kept with their ids in a Python worker, so that memory stays bounded.
-CACHED = 250_000
+CACHED = 400_000
 # No token goes over a space or a line end, nor from a letter to one of these signs.
 # The letters are those that normalisation keeps as one letter.
 WORD = re.compile(
     r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+(?=[.,;:!?%&*#$|])|[^ \n]+"
 )
-# Lower case is part of the vocabulary's normalisation. Up to here Python's is the
-# same, unless it would make a special token.
-OTHER = re.compile("[^\x00-\u024f]|<\\|")
+# Lower case is part of the vocabulary's normalisation. Up to this character Python's
+# is the same, unless it would make a special token, which begins with this sign.
+LAST_SAME = 0x24F
+SPECIAL = "<|"
 
 FILE_OPTIONS = {
     "compression": "zstd",
@@ -52,6 +53,11 @@ FILE_OPTIONS = {
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u024f]+")
 
 
+def _last_character(text: str) -> int:
+    """The highest code unit of a text that is not empty."""
+    return int(np.frombuffer(text.encode("utf-16-le"), np.uint16).max())
+
+
 class Encoder:
     """Ids of whole texts, each word encoded once by the library and remembered.
 
@@ -66,9 +72,16 @@ class Encoder:
         self.bytes_of = {
             n: "".join(symbols[b] for b in chr(n).encode()) for n in range(0x80, 0x250)
         }
+        self.of_part = Memo(self._part, CACHED // 4)
         self.of_word = Memo(self._word, CACHED)
 
     def _word(self, word: str) -> bytes:
+        parts = WORD.findall(word)
+        if len(parts) == 1:
+            return self._part(word)
+        return b"".join(map(self.of_part.__getitem__, parts))
+
+    def _part(self, word: str) -> bytes:
         if PLAIN.fullmatch(word) and word == word.lower():
             shown = word if word.isascii() else word.translate(self.bytes_of)
             ids = [token.id for token in self.model.tokenize(shown)]
@@ -77,9 +90,9 @@ class Encoder:
         return np.array(ids, "<i4").tobytes()
 
     def encode(self, text: str) -> bytes:
-        if not OTHER.search(text):
+        if SPECIAL not in text and (text.isascii() or _last_character(text) <= LAST_SAME):
             text = text.lower()
-        return b"".join(map(self.of_word.__getitem__, WORD.findall(text)))
+        return b"".join(map(self.of_word.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 @kept
