@@ -7,12 +7,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.functions import as_day, previous_month
-from tidemark.model import AS_OF, PERIOD_END, PERIOD_START, SPECS
-from tidemark.operators import clean, profile
+from tidemark.model import AS_OF, PERIOD_END, PERIOD_START
+from tidemark.operators import profile
 from tidemark.plans import reports
 from tidemark.session import configure
-from tidemark.sources.readers import read_tables
-from tidemark.sources.writers import write_csv, write_parquet, write_report, write_tables
+from tidemark.sources.buckets import clean_in_buckets
+from tidemark.sources.writers import write_csv, write_parquet, write_report
 
 
 def reports_job(
@@ -26,11 +26,12 @@ def reports_job(
     """Check, clean and store the tables, then write the four reports.
 
     The reports read the stored tables, so the source is read for the checks
-    and once for the copy. Returns the paths written by name.
+    and for the copy. These are in buckets of the employee, so that no report
+    moves them again. Returns the paths written by name.
     """
     paths = {"quality": write_parquet(profile(tables), f"{out}/quality")}
-    paths["tables"] = write_tables(clean(tables), f"{out}/tables")
-    t = read_tables(spark, paths["tables"], tables, SPECS)
+    paths["tables"] = f"{out}/tables"
+    t = clean_in_buckets(tables, paths["tables"])
     configure(spark, *t.values())
 
     by_department = reports.annual_salary_by_department(
