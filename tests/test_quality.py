@@ -1,11 +1,14 @@
 """Checks and repairs on broken tables."""
 
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.errors import PySparkException
 
 from frames import OPEN, day, departments, rows, table
-from tidemark.model import SPECS
+from tidemark.model import OPEN_END, SPECS
+from tidemark.operators import quality
 from tidemark.operators import (
     cast_failures,
     cast_to,
@@ -122,3 +125,27 @@ def test_profile_counts_what_clean_removes(spark):
     assert found["surplus_rows"] == found["rows"] - clean({"salaries": raw})["salaries"].count() == 1
     empty = {r["check"]: r["value"] for r in profile({"salaries": raw.limit(0)}).collect()}
     assert empty["rows"] == empty["surplus_rows"] == empty["duplicate_keys"] == 0
+
+
+@pytest.mark.parametrize("clash", [False, True])
+def test_duplicate_keys_are_told_by_the_keys(spark, monkeypatch, clash):
+    """Also if nearly all keys have the same hash, and with nulls in the key."""
+    if clash:
+        monkeypatch.setattr(quality, "_hash_of", lambda key: F.pmod(F.xxhash64(*key), F.lit(2)))
+    made = [(i % 40 if i % 7 else None, 100 + i % 3, day("1990-01-01") if i % 5 else None) for i in range(300)]
+    df = spark.createDataFrame(made, "emp_no int, salary int, from_date date").withColumn("to_date", F.lit(OPEN_END))
+    found = {r.check: r.value for r in profile({"salaries": df}).collect() if r.check != "nulls"}
+    counts = Counter((r[0], r[2]) for r in made)
+    assert found["duplicate_keys"] == sum(n > 1 for n in counts.values())
+    assert found["surplus_rows"] == 300 - len(counts) and found["rows"] == 300
+    unique = df.dropDuplicates(["emp_no", "from_date"])
+    found = {r.check: r.value for r in profile({"salaries": unique}).collect()}
+    assert (found["duplicate_keys"], found["surplus_rows"]) == (0, 0)
+
+
+def test_no_measure_moves_by_key(spark):
+    df = table(spark, "salaries", (1, 5, "1990-01-01", OPEN), (1, 5, "1990-01-01", OPEN))
+    text = profile({"salaries": df})._jdf.queryExecution().executedPlan().toString()
+    lines = text.splitlines()
+    moved = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(_key" in line]
+    assert moved and not any("to_date" in line or "salary" in line for line in moved)

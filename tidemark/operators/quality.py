@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from tidemark.functions.values import row_count
 from tidemark.model import SPECS, TableSpec
+from tidemark.session import new_scratch_path
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -102,52 +103,90 @@ def _finding(check: str, column: str, value: Column, detail: str | None = None)
     )
 
 
-def _profile_table(name: str, df: DataFrame, spec: TableSpec | None) -> DataFrame:
-    """One pass: counts for each key as it is after the cast, and their sums."""
-    measures = {("nulls", c): F.count_if(F.col(c).isNull()) for c in df.columns}
-    details = []
-    key, interval = (), None
+def _cast_key(df: DataFrame, spec: TableSpec) -> list[Column]:
+    """The key columns as they are after a lenient cast."""
+    differing = _differing(df, spec.schema)
+    return [
+        (F.col(c).try_cast(spec.schema[c].dataType) if c in differing else F.col(c)).alias(f"_key{i}")
+        for i, c in enumerate(spec.key)
+    ]
+
+
+def _measures(name: str, df: DataFrame, spec: TableSpec | None) -> DataFrame:
+    """All counts that need no key, in one aggregate of which each task hands on one row."""
+    found = [_finding("rows", "*", row_count())]
+    found += [_finding("nulls", c, F.count_if(F.col(c).isNull())) for c in df.columns]
     if spec:
-        differing = type_diff(df, spec.schema)
-        for c, found, declared in differing:
-            detail = f"{found}, declared {declared}"
-            details.append(_finding("type_mismatch", c, F.lit(1), detail))
-            measures["cast_failures", c] = _failed(c, spec.schema)
+        for c, type_found, declared in type_diff(df, spec.schema):
+            detail = f"{type_found}, declared {declared}"
+            found.append(_finding("type_mismatch", c, F.lit(1), detail))
+            found.append(_finding("cast_failures", c, _failed(c, spec.schema)))
         if spec.start and {spec.start, spec.end} <= set(df.columns):
-            interval = f"{spec.start},{spec.end}"
-            measures["inverted_intervals", interval] = _inverted(spec.start, spec.end)
-        cast = {c: spec.schema[c].dataType for c, *_ in differing}
-        key = [
-            (F.col(c).try_cast(cast[c]) if c in cast else F.col(c)).alias(f"_key{i}")
-            for i, c in enumerate(spec.key)
-        ]
-    columns = {f"_m{i}": measure for i, measure in enumerate(measures.values())}
-    groups = df.groupBy(*key).agg(
-        row_count().alias("_n"), *[m.alias(c) for c, m in columns.items()]
-    )
-    total = F.coalesce(F.sum("_n"), F.lit(0))
-    found = [_finding("rows", "*", total), *details]
-    found += [
-        _finding(check, column, F.coalesce(F.sum(c), F.lit(0)))
-        for c, (check, column) in zip(columns, measures)
+            inverted = _inverted(spec.start, spec.end)
+            found.append(_finding("inverted_intervals", f"{spec.start},{spec.end}", inverted))
+    rows = df.agg(F.array(*found).alias("all")).select(F.explode("all").alias("f"))
+    return rows.select(F.lit(name).alias("table"), "f.*")
+
+
+def _hash_of(key: list[Column]) -> Column:
+    return F.xxhash64(*key)
+
+
+def _met_again(tables: dict[str, DataFrame], specs: dict[str, TableSpec]) -> DataFrame | None:
+    """The hashes (_table, _hash) that several keys of a table's rows have; None if there are none.
+
+    A row moves as a hash and a count, combined in each task, and for all tables
+    in one job. What is left is stored, so that its size is known.
+    """
+    parts = [
+        df.select(F.lit(name).alias("_table"), _hash_of(_cast_key(df, specs[name])).alias("_hash"))
+        for name, df in tables.items()
+        if name in specs
     ]
-    if spec:
-        label = ",".join(spec.key)
-        found.append(_finding("duplicate_keys", label, F.count_if(F.col("_n") > 1)))
-        found.append(_finding("surplus_rows", label, total - F.count("_n")))
-    rows = groups.agg(F.array(*found).alias("all")).select(F.explode("all").alias("f"))
+    if not parts:
+        return None
+    counts = reduce(DataFrame.unionAll, parts).groupBy("_table", "_hash").agg(row_count().alias("_n"))
+    target = new_scratch_path(parts[0].sparkSession, "hashes")
+    counts.filter("_n > 1").select("_table", "_hash").write.parquet(target)
+    found = parts[0].sparkSession.read.parquet(target)
+    return None if found.isEmpty() else found
+
+
+def _duplicates(name: str, df: DataFrame, spec: TableSpec, again: DataFrame | None) -> DataFrame:
+    """Keys that occur more than once, by the keys themselves of the rows whose hash was met again."""
+    label = ",".join(spec.key)
+    columns = ("duplicate_keys", "surplus_rows")
+    if again is None:
+        counts = df.sparkSession.range(1).select(*[F.lit(0).alias(c) for c in columns])
+    else:
+        key = _cast_key(df, spec)
+        rows = df.select(*key, _hash_of(key).alias("_hash"))
+        rows = rows.join(again.filter(F.col("_table") == name), "_hash", "left_semi")
+        counts = duplicate_keys(rows, [f"_key{i}" for i in range(len(key))])
+    found = [_finding(c, label, F.col(c)) for c in columns]
+    rows = counts.select(F.explode(F.array(*found)).alias("f"))
     return rows.select(F.lit(name).alias("table"), "f.*")
 
 
 def profile(tables: dict[str, DataFrame], specs: dict[str, TableSpec] = SPECS) -> DataFrame:
     """All checks of all tables as rows (table, check, column, value, detail).
 
-    One aggregation by key for each table, combined before the shuffle, sums up
-    to all counts. Keys are compared as they are after a lenient cast, so
-    ``surplus_rows`` is what ``clean`` removes. ``detail`` has the types of a
-    mismatch. A table without a spec has no key and no declared types.
+    Counts by column are one global aggregate for each table. Keys are counted
+    by hash first, in a job that runs when this is called and reads key columns
+    alone; only rows whose hash was met again are counted by the key itself. So
+    no measures move by key, and no keys that are unique. Keys are compared as
+    they are after a lenient cast, so ``surplus_rows`` is what ``clean``
+    removes. ``detail`` has the types of a mismatch. A table without a spec has
+    no key and no declared types.
     """
-    parts = [_profile_table(name, df, specs.get(name)) for name, df in tables.items()]
+    again = _met_again(tables, specs)
+    held = {r[0] for r in again.select("_table").distinct().collect()} if again is not None else set()
+    parts = []
+    for name, df in tables.items():
+        spec = specs.get(name)
+        parts.append(_measures(name, df, spec))
+        if spec:
+            parts.append(_duplicates(name, df, spec, again if name in held else None))
     return reduce(DataFrame.unionByName, parts)
 
 
