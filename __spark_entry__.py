@@ -23,7 +23,14 @@ from tidemark import plans  # noqa: E402
 from tidemark.functions import previous_month  # noqa: E402
 from tidemark.model import OPEN_END, SPECS  # noqa: E402
 from tidemark.session import configure, new_scratch_path  # noqa: E402
-from tidemark.sources import staffing, write_csv, write_report, write_tables  # noqa: E402
+from tidemark.sources import (
+    current_version,
+    publish_report,
+    staffing,
+    write_csv,
+    write_report,
+    write_tables,
+)  # noqa: E402
 
 # The operators for training data are an optional part: only its absence is passed over.
 EXTRA: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,6 +226,30 @@ def _monthly_run(spark: SparkSession, t: Tables) -> DataFrame:
     return _read_csv(plans.employee_changes(*[t[n] for n in CHANGED]), uri)
 
 
+def _monthly_steps(spark: SparkSession, t: Tables) -> DataFrame:
+    """Three months, each from the state that the one before has left."""
+    root, like = new_scratch_path(spark, "steps"), plans.employee_changes(*[t[n] for n in CHANGED])
+    months = (("2000-01-01", "2000-01-31"), ("2000-02-01", "2000-02-29"), ("2000-03-01", "2000-03-31"))
+    found = []
+    for start, end in months:
+        found.append(_read_csv(like, plans.changes_step(spark, t, root, start, end)))
+    return reduce(DataFrame.union, found)
+
+
+def _sink_published(spark: SparkSession, t: Tables) -> DataFrame:
+    """An older report, the whole one, and a run that fails half-way: the whole one stays."""
+    report, uri = _master(t), new_scratch_path(spark, "published")
+    publish_report(report.filter("emp_no % 2 = 0"), uri)
+    publish_report(report, uri)
+    broken = F.when(F.col("emp_no") % 3 == 0, F.raise_error(F.lit("lost"))).otherwise(F.col("emp_no"))
+    try:
+        publish_report(report.withColumn("emp_no", broken.cast("int")), uri)
+    except Exception as error:  # noqa: BLE001
+        if "lost" not in str(error):
+            raise
+    return spark.read.parquet(current_version(spark, uri))
+
+
 OF_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "career_progression": _report(plans.career_progression, "employees", "titles"),
     "department_turnover": _report(plans.department_turnover, "departments", "dept_emp"),
@@ -268,6 +299,8 @@ OF_TABLES: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "full_run_annual_salary": _full_run,
     "full_run_results": _full_run_results,
     "monthly_run_changes": _monthly_run,
+    "monthly_steps_changes": _monthly_steps,
+    "sink_published_roundtrip": _sink_published,
 }
 
 OF_ORDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,4 +1,10 @@
-from tidemark.operators.history import closed_rows, current_rows, latest_by_key, value_changes
+from tidemark.operators.history import (
+    closed_rows,
+    current_rows,
+    last_values,
+    latest_by_key,
+    value_changes,
+)
 from tidemark.operators.intervals import close_open_intervals, overlap_join, point_in_interval_join
 from tidemark.operators.quality import (
     cast_failures,
@@ -25,6 +31,7 @@ __all__ = [
     "heavy_keys",
     "heavy_slots",
     "inverted_intervals",
+    "last_values",
     "latest_by_key",
     "null_counts",
     "overlap_join",

@@ -9,8 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.dates import as_day, is_open
-from tidemark.functions.values import row_count
-from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys
+from tidemark.operators.skew import HEAVY_WINDOW_ROWS, heavy_keys, in_ranges
 
 
 def current_rows(df: DataFrame, end: str = "to_date") -> DataFrame:
@@ -45,6 +44,32 @@ def latest_by_key(
     return df.join(latest.select(*values), values, "left_semi")
 
 
+def last_values(
+    df: DataFrame,
+    key: str,
+    value: str,
+    until: date | str | Column,
+    at: str = "from_date",
+    after: date | str | Column | None = None,
+    before: DataFrame | None = None,
+) -> DataFrame:
+    """Columns key, at, value: each key's last row up to ``until``, ties by the larger value.
+
+    Rows without a key are left out; a row without a day comes before all others.
+    With ``before``, the last values up to the day ``after``, only later rows are
+    read. What is combined is one row a key and task.
+    """
+    rows = df.select(key, F.col(at).alias("at"), F.col(value).alias("value"))
+    rows = rows.filter(F.col(key).isNotNull())
+    if before is None:
+        rows = rows.filter((F.col("at") <= as_day(until)) | F.col("at").isNull())
+    else:
+        rows = rows.filter((F.col("at") > as_day(after)) & (F.col("at") <= as_day(until)))
+        rows = rows.unionByName(before)
+    last = F.max(F.struct("at", "value")).alias("last")
+    return rows.groupBy(key).agg(last).select(key, "last.at", "last.value")
+
+
 def value_changes(
     df: DataFrame,
     key: str,
@@ -54,6 +79,7 @@ def value_changes(
     label: str,
     at: str = "from_date",
     heavy: DataFrame | bool | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Changes of ``value`` per key that take effect from ``start`` to ``end``.
 
@@ -66,12 +92,21 @@ def value_changes(
     The rest is put in order by key, but for the keys with too many rows for
     one task: those are handled in a way that never gathers a key's rows.
     ``heavy`` replaces the search for them, ``False`` turns it off.
+
+    ``before`` has the ``last_values`` of the history up to the day before
+    ``start``. Then only rows of the period are read.
     """
     first, last = as_day(start), as_day(end)
     rows = df.select(key, F.col(at).alias("at"), F.col(value).alias("value"))
-    rows = rows.filter(F.col(key).isNotNull() & ((F.col("at") <= last) | F.col("at").isNull()))
+    rows = rows.filter(F.col(key).isNotNull())
+    if before is None:
+        rows = rows.filter((F.col("at") <= last) | F.col("at").isNull())
+    else:
+        rows = rows.filter(F.col("at").between(first, last))
     if heavy is None:
-        heavy = heavy_keys([df], [key], HEAVY_WINDOW_ROWS)
+        heavy = heavy_keys([df if before is None else rows], [key], HEAVY_WINDOW_ROWS)
+    if before is not None:
+        rows = rows.unionByName(before)
     if isinstance(heavy, DataFrame):
         pairs = _ordered_pairs(rows.join(heavy, key, "left_anti"), key, first).unionByName(
             _heavy_pairs(rows.join(heavy, key, "left_semi"), key, first)
@@ -100,31 +135,29 @@ def _heavy_pairs(rows: DataFrame, key: str, first: Column) -> DataFrame:
     """The same pairs but those of equal values, without a window over a key's rows.
 
     History before the period counts through its last row, a maximum combined
-    on the map side. In the period rows of one key and day are reduced to the
-    lowest and highest value, and the pairs inside such a day found separately.
-    A window sees one row per day of a key, or the values of a key on one day.
+    on the map side. What is in the period is put in order by ranges of (key,
+    day, value), so that a key, or a day of it, is spread over as many tasks as
+    it needs. Rows that are equal in all three are one: there is no change
+    between them. Each range looks back within itself, and its first row at the
+    last row of the range before, of which there is one for each range. The
+    ranges are stored, since they would be cut elsewhere when made again.
     """
-    period = rows.filter(F.col("at") >= first)
-    # Null sorts first: a day with a null begins with it.
-    lowest = F.when(F.count("value") == row_count(), F.min("value"))
-    days = period.groupBy(key, "at").agg(lowest.alias("low"), F.max("value").alias("high"))
+    period = rows.filter(F.col("at") >= first).distinct()
     before = (
         rows.filter((F.col("at") < first) | F.col("at").isNull())
         .groupBy(key)
         .agg(F.max(F.struct("at", "value")).alias("last"))
-        .select(key, F.col("last.value").alias("before"))
+        .select(key, "last.at", "last.value")
     )
-    by_day = Window.partitionBy(key).orderBy("at")
-    previous = F.when(F.col("nth") == 1, F.col("before")).otherwise(F.col("previous_high"))
-    across = (
-        days.withColumns(
-            {"previous_high": F.lag("high").over(by_day), "nth": F.row_number().over(by_day)}
-        )
-        .join(before, key, "left")
-        .select(key, "at", previous.alias("old_value"), F.col("low").alias("new_value"))
-    )
-    in_day = Window.partitionBy(key, "at").orderBy("value")
-    within = period.distinct().select(
-        key, "at", F.lag("value").over(in_day).alias("old_value"), F.col("value").alias("new_value")
-    )
-    return across.unionByName(within)
+    order = (key, "at", "value")
+    placed = in_ranges(period.unionByName(before), order)
+    row = F.struct(F.col(key).alias("key"), "value")
+    ends = placed.groupBy("_range").agg(F.max_by(row, "_place").alias("end"))
+    carried = ends.select("_range", F.lag("end").over(Window.orderBy("_range")).alias("carried"))
+    within = F.lag(row).over(Window.partitionBy("_range").orderBy("_place"))
+    previous = placed.withColumn("previous", within).join(carried, "_range")
+    previous = previous.withColumn("previous", F.coalesce("previous", "carried"))
+    old = F.when(F.col("previous.key") == F.col(key), F.col("previous.value"))
+    return previous.select(
+        key, "at", old.alias("old_value"), F.col("value").alias("new_value")
+    ).filter(F.col("at") >= first)

@@ -57,6 +57,17 @@ def heavy_keys(
     return _stored(heavy.select(*keys).distinct(), "heavy")
 
 
+def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """``df`` sorted over all tasks, with the number of its range and its place in the order.
+
+    Stored, so that ranges stay as they were cut. Rows equal in ``order`` are in
+    one range.
+    """
+    spread = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = spread.withColumn("_place", F.monotonically_increasing_id())
+    return _stored(placed.withColumn("_range", F.spark_partition_id()), "ranges")
+
+
 def _with_many_pairs(
     heavy: DataFrame, frames: Sequence[DataFrame], against: DataFrame, keys: Sequence[str]
 ) -> DataFrame | None:

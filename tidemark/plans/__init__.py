@@ -1,4 +1,4 @@
-from tidemark.plans.jobs import changes_job, reports_job
+from tidemark.plans.jobs import changes_job, changes_step, reports_job
 from tidemark.plans.reports import (
     annual_salary_by_department,
     career_progression,
@@ -16,6 +16,7 @@ __all__ = [
     "annual_salary_by_department",
     "career_progression",
     "changes_job",
+    "changes_step",
     "department_turnover",
     "employee_changes",
     "employee_master",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +12,7 @@ from tidemark.operators import profile
 from tidemark.plans import reports
 from tidemark.session import configure
 from tidemark.sources.buckets import clean_in_buckets
+from tidemark.sources.publish import VERSION, current_version, publish, publish_report
 from tidemark.sources.writers import write_csv, write_parquet, write_report
 
 
@@ -81,3 +82,41 @@ def changes_job(
     uri = f"{out}/employee_changes"
     write_csv(changes, uri)
     return uri
+
+
+def changes_step(
+    spark: SparkSession, tables: dict[str, DataFrame], out: str, start: date | str, end: date | str
+) -> str:
+    """Publish the change report of a period that follows the one before; its path.
+
+    ``out/state`` keeps the last value of each key of the four histories up to
+    the end of the last step. If that is the day before ``start``, only rows of
+    the period are read; otherwise, on the first step or after a gap, the whole
+    history before it once. Report and state are published one after the other,
+    so a step that was lost can run again.
+
+    A row that arrives after the step of its day is in no report, and no later
+    change refers to it, until a step that reads the whole history.
+    """
+    first, last = (date.fromisoformat(str(d)) for d in (start, end))
+    eve = first - timedelta(days=1)
+    state = current_version(spark, f"{out}/state")
+    known = state is not None and f"/{VERSION}{eve.isoformat()}-" in state
+    before = {}
+    for name, (key, value) in reports.CHANGING.items():
+        if known:
+            before[name] = spark.read.parquet(f"{state}/{name}.parquet")
+        else:
+            before[name] = reports.last_values(tables[name], key, value, eve)
+    names = ("employees", "dept_emp", "titles", "salaries", "dept_manager", "departments")
+    changes = reports.employee_changes(*[tables[n] for n in names], first, last, before)
+    path = publish_report(changes, f"{out}/employee_changes", "csv")
+
+    def write(folder: str) -> None:
+        for name, (key, value) in reports.CHANGING.items():
+            options = {"after": eve, "before": before[name]}
+            newest = reports.last_values(tables[name], key, value, last, **options)
+            write_parquet(newest, f"{folder}/{name}.parquet")
+
+    publish(spark, f"{out}/state", write, label=last.isoformat())
+    return path

@@ -47,6 +47,7 @@ from tidemark.operators import (
     current_rows,
     heavy_keys,
     heavy_slots,
+    last_values,
     latest_by_key,
     overlap_join,
     point_in_interval_join,
@@ -54,6 +55,15 @@ from tidemark.operators import (
 )
 from tidemark.operators.skew import HEAVY_WINDOW_ROWS
 
+# The histories of the change report: their keys, their values and what a change is called.
+CHANGING = {
+    "dept_emp": ("emp_no", "dept_no"),
+    "titles": ("emp_no", "title"),
+    "salaries": ("emp_no", "salary"),
+    "dept_manager": ("dept_no", "emp_no"),
+}
+CHANGE_LABELS = (DEPARTMENT_CHANGE, TITLE_CHANGE, SALARY_CHANGE, MANAGER_CHANGE)
+
 
 def career_progression(employees: DataFrame, titles: DataFrame, as_of: date = AS_OF) -> DataFrame:
     """Distinct titles and mean years per title of each employee."""
@@ -375,24 +385,33 @@ def employee_changes(
     departments: DataFrame,
     start: date | str | Column = PERIOD_START,
     end: date | str | Column = PERIOD_END,
+    before: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Log of department, title, salary and manager changes in a period.
 
     Both days belong to the period. Department changes show department numbers,
     manager changes the names of the managers, null for one who is unknown.
+
+    ``before`` has the ``last_values`` of the four histories, by their names, up
+    to the day before ``start``; rows before the period are then not read.
     """
     period = as_day(start), as_day(end)
-    histories = [h.select("emp_no") for h in (dept_emp, titles, salaries)]
+
+    def read(history: DataFrame) -> DataFrame:
+        return history if before is None else history.filter(F.col("from_date").between(*period))
+
+    histories = [read(h).select("emp_no") for h in (dept_emp, titles, salaries)]
     of_key = {
         "emp_no": heavy_keys(histories, ["emp_no"], HEAVY_WINDOW_ROWS),
-        "dept_no": heavy_keys([dept_manager], ["dept_no"], HEAVY_WINDOW_ROWS),
+        "dept_no": heavy_keys([read(dept_manager)], ["dept_no"], HEAVY_WINDOW_ROWS),
     }
+    table_of = dict(zip(CHANGE_LABELS, CHANGING))
 
     def changes(history: DataFrame, key: str, value: str, label: str) -> DataFrame:
         heavy = False if of_key[key] is None else of_key[key]
-        return value_changes(history, key, value, *period, label, heavy=heavy).withColumns(
-            {c: F.col(c).cast("string") for c in ("old_value", "new_value")}
-        )
+        last = before[table_of[label]] if before else None
+        found = value_changes(history, key, value, *period, label, heavy=heavy, before=last)
+        return found.withColumns({c: F.col(c).cast("string") for c in ("old_value", "new_value")})
 
     def event(entity: str, name: Column) -> list[Column]:
         return [
