@@ -89,6 +89,7 @@ def changes_step(
 ) -> str:
     """Publish the change report of a period that follows the one before; its path.
 
+    Each period has a report of its own, below ``out/employee_changes``.
     ``out/state`` keeps the last value of each key of the four histories up to
     the end of the last step. If that is the day before ``start``, only rows of
     the period are read; otherwise, on the first step or after a gap, the whole
@@ -110,7 +111,8 @@ def changes_step(
             before[name] = reports.last_values(tables[name], key, value, eve)
     names = ("employees", "dept_emp", "titles", "salaries", "dept_manager", "departments")
     changes = reports.employee_changes(*[tables[n] for n in names], first, last, before)
-    path = publish_report(changes, f"{out}/employee_changes", "csv")
+    uri = f"{out}/employee_changes/{first.isoformat()}_{last.isoformat()}"
+    path = publish_report(changes, uri, "csv")
 
     def write(folder: str) -> None:
         for name, (key, value) in reports.CHANGING.items():
