@@ -14,7 +14,7 @@ def test_registered():
     names = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 def test_stages_are_the_operators(ready, docs):
