@@ -82,7 +82,7 @@ def test_salary_trends_with_heavy_keys_split(spark, monkeypatch):
     whole = rows(plans.salary_trends(*args))
     found = reports.heavy_slots
     monkeypatch.setattr(
-        reports, "heavy_slots", lambda frames, keys: found(frames, keys, min_rows=1)
+        reports, "heavy_slots", lambda frames, keys, against=None: found(frames, keys, min_rows=1)
     )
     assert rows(plans.salary_trends(*args)) == whole
     assert len(whole) == 19
