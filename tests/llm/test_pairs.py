@@ -384,9 +384,10 @@ def test_near_duplicates_of_odd_rows(odd, empty):
 
 
 def test_tensored_keys_need_few_minhashes():
-    assert tensor_minhash.groups_for(0.85) ** 2 == 121  # tables, from 2 * 11 groups
-    share = 0.85**tensor_minhash.GROUP
-    assert 2 * (1 - share) ** tensor_minhash.groups_for(0.85) <= 1e-4
+    groups = tensor_minhash.groups_for(0.85)
+    assert groups == (8, 11)  # 88 tables, from 19 groups
+    missed = [(1 - 0.85**size) ** n for size, n in zip(tensor_minhash.GROUPS, groups)]
+    assert sum(missed) <= 1e-4
 
 
 def test_components(ready):

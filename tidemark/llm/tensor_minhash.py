@@ -1,8 +1,8 @@
 """Near-duplicate documents by MinHash with tensored banding, every link verified.
 
 Two small collections of minhash groups are computed. The key of a table joins
-one group of the first with one of the second, so ``m * m`` tables of twice the
-rows need only ``2 * m`` groups of minhashes. Documents that meet in a table are
+one group of the first with one of the second, so ``a * b`` tables of five rows
+need only ``a + b`` groups of two or three minhashes. Documents that meet in a table are
 candidates; a link needs the exact Jaccard similarity of the full shingle sets.
 
 Documents of one shingle set are one class from the start. Of the classes that
@@ -37,35 +37,37 @@ from tidemark.llm.common import restricted, ship
 from tidemark.llm.components import components, stored
 from tidemark.llm.shingles import blocks, mix, shingle_sets
 
-GROUP = 3  # minhashes of a group; a key has twice as many
+GROUPS = (2, 3)  # minhashes of a group of each collection; a key has their sum
 MAP_BITS = 512  # of the parity map of a set, in which each shingle flips a bit
 PARTS = [f"p{i}" for i in range(MAP_BITS // 64)]
 MISSED = 1e-4  # most that a pair at the threshold may be missed, all tables together
 
 
-def groups_for(share: float, missed: float = MISSED) -> int:
-    """Groups in each collection so that a pair at ``share`` misses all tables rarely enough."""
-    return math.ceil(math.log(missed / 2) / math.log(1 - share**GROUP))
+def groups_for(share: float, missed: float = MISSED) -> tuple[int, ...]:
+    """Groups of each collection so that a pair at ``share`` misses all tables rarely enough."""
+    each = math.log(missed / len(GROUPS))
+    return tuple(math.ceil(each / math.log(1 - share**size)) for size in GROUPS)
 
 
-def table_keys(values: np.ndarray, ends: np.ndarray, groups: int) -> np.ndarray:
+def table_keys(values: np.ndarray, ends: np.ndarray, groups: tuple[int, ...]) -> np.ndarray:
     """For each set (none empty), one key for each pair of groups of the two collections."""
     starts = np.concatenate([[0], ends[:-1]])
-    seeds = np.random.default_rng(7).integers(0, 1 << 63, (2, 2, groups, GROUP), dtype=np.uint64)
+    random = np.random.default_rng(7)
     halves = []
-    for side in range(2):
+    for size, count in zip(GROUPS, groups):
+        seeds = random.integers(0, 1 << 63, (2, count, size), dtype=np.uint64)
         columns = []
-        for g in range(groups):
+        for g in range(count):
             key = np.full(len(ends), g + 1, np.uint64)
-            for r in range(GROUP):
-                turn, odd = seeds[side, 0, g, r], seeds[side, 1, g, r] * np.uint64(2) + np.uint64(1)
+            for r in range(size):
+                turn, odd = seeds[0, g, r], seeds[1, g, r] * np.uint64(2) + np.uint64(1)
                 least = np.minimum.reduceat((values ^ turn) * odd, starts)
                 key = mix(key * np.uint64(0x9E3779B97F4A7C15) + least)
             columns.append(key)
         halves.append(np.stack(columns, axis=1))
-    place = np.arange(groups * groups, dtype=np.uint64).reshape(1, groups, groups)
+    place = np.arange(math.prod(groups), dtype=np.uint64).reshape(1, *groups)
     left, right = halves[0][:, :, None], halves[1][:, None, :]
-    return mix(mix(left + place) + right).reshape(len(ends), groups * groups)
+    return mix(mix(left + place) + right).reshape(len(ends), math.prod(groups))
 
 
 def parity_maps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -81,7 +83,12 @@ def parity_maps(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 
 def signatures(
-    df: DataFrame, *, shingle: int, groups: int, id_column: str = "doc_id", text_column: str = "text"
+    df: DataFrame,
+    *,
+    shingle: int,
+    groups: tuple[int, ...],
+    id_column: str = "doc_id",
+    text_column: str = "text",
 ) -> DataFrame:
     """Columns id, n (size of the set), digest (of the set), keys, parity map; no keys if empty."""
     ship(df.sparkSession.sparkContext.applicationId)
@@ -96,19 +103,20 @@ def signatures(
         ]
     )
     arrow = to_arrow_schema(schema)
+    tables = math.prod(groups)
 
     def block(rows: list[tuple]) -> pa.RecordBatch:
         values, ends = shingle_sets([t or b"" for _, t in rows], shingle)
         starts = np.concatenate([[0], ends[:-1]])
         sizes = ends - starts
         held = sizes > 0
-        keys = np.empty((0, groups * groups), np.uint64)
+        keys = np.empty((0, tables), np.uint64)
         if held.any():
             keys = table_keys(values, ends[held], groups)
         digests = [
             hashlib.blake2b(values[s:e], digest_size=16).digest() for s, e in zip(starts, ends)
         ]
-        offsets = np.concatenate([[0], np.cumsum(held * groups * groups)]).astype(np.int32)
+        offsets = np.concatenate([[0], np.cumsum(held * tables)]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([r[0] for r in rows], arrow.field("id").type),
@@ -225,7 +233,8 @@ def near_duplicates(
     classes = stored(linkable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
     heads = linkable.join(classes, "digest").filter("id = rep").dropDuplicates(["digest"])
     heads = stored(heads.drop("digest", "rep"), "heads")
-    in_tables = heads.select("id", F.explode("keys").alias("key"))
+    # One exchange by key feeds both the aggregate and the join.
+    in_tables = heads.select("id", F.explode("keys").alias("key")).repartition("key")
     met = in_tables.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     met = met.filter("low < high").select("key", "low")
     shared = stored(in_tables.join(met, "key"), "shared")
