@@ -27,7 +27,7 @@ from tidemark.llm.common import Memo, kept, per_text, vocabulary
 VOCABULARY = "piece_bpe_32k.model"
 # Pairs of pieces, parts of words, and words kept in a Python worker, so that memory stays bounded.
 CACHED = 150_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 SPACE = "▁"
 LETTER = re.compile(r"[^\W\d_]")
 
@@ -205,28 +205,32 @@ class Pieces:
             parts.append(pending.decode(errors="replace"))
         return "".join(parts).replace(SPACE, " ")
 
-    def chunk_digest(self, chunk: str) -> tuple[int, str, str]:
-        """Number of ids, the ids as text, and what they decode to."""
+    def chunk_digest(self, chunk: str) -> str | tuple[str, str]:
+        """The ids as text; with what they decode to, where that is not the chunk."""
         taken = self.chunk(chunk)
         try:
-            return len(taken), " ".join([self.shown[piece] for piece in taken]), chunk
+            return " ".join([self.shown[piece] for piece in taken])
         except KeyError:  # bytes stand for a piece
             ids = self.ids(taken)
-            return len(ids), " ".join(map(str, ids)), self._joined(ids)
+            return self._entry(chunk, " ".join(map(str, ids)), self._joined(ids))
 
-    def _word_digest(self, word: str) -> tuple[int, str, str]:
+    @staticmethod
+    def _entry(given: str, shown: str, decoded: str) -> str | tuple[str, str]:
+        return shown if decoded == given else (shown, decoded)
+
+    def _word_digest(self, word: str) -> str | tuple[str, str]:
         """The same of what stands between two spaces, cut into its chunks."""
         chunks = self.cuts.findall(word)
         if len(chunks) == 1:
             return self.chunk_digest(chunks[0])
-        return self._together(map(self.of_chunk.__getitem__, chunks))
+        return self._entry(word, *self._together(chunks, [self.of_chunk[c] for c in chunks]))
 
     @staticmethod
-    def _together(parts: Iterable[tuple[int, str, str]]) -> tuple[int, str, str]:
-        counts, shown, decoded = zip(*parts)
-        return sum(counts), " ".join(shown), "".join(decoded)
+    def _together(given: Iterable[str], entries: list) -> tuple[str, str]:
+        apart = [e if type(e) is tuple else (e, g) for e, g in zip(entries, given)]
+        return " ".join([e[0] for e in apart]), "".join([e[1] for e in apart])
 
-    def _line_digest(self, line: str) -> Iterator[tuple[int, str, str]]:
+    def _line_entries(self, line: str) -> Iterator[str | tuple[str, str]]:
         """Words are looked up whole; a line with spaces side by side is cut."""
         first, *words = line.split(" ")
         if "" in words:
@@ -234,17 +238,33 @@ class Pieces:
         found = map(self.of_word.__getitem__, words)
         return chain([self.of_first[first]], found) if first else found
 
+    def _line_parts(self, line: str) -> Iterator[str]:
+        """What the entries of the line stand for."""
+        first, *words = line.split(" ")
+        if "" in words:
+            return iter(self.cuts.findall(line))
+        found = (f" {word}" for word in words)
+        return chain([first], found) if first else found
+
     def digest(self, text: str) -> tuple[int, str, str]:
         """Ids with the end id, counted and joined by a space; and the decoded text."""
         if not text:
             return 1, str(self.end), ""
-        first, *lines = (" " + text.replace(SPACE, " ")).split("\n")
-        parts = [*self._line_digest(first)]
+        decoded = " " + text.replace(SPACE, " ")
+        first, *lines = decoded.split("\n")
+        entries = [*self._line_entries(first)]
         for line in lines:
-            parts.append(self.of_chunk["\n"])
-            parts.extend(self._line_digest(line))
-        count, shown, decoded = self._together(parts)
-        return count + 1, f"{shown} {self.end}", decoded[1:]
+            entries.append(self.of_chunk["\n"])
+            entries.extend(self._line_entries(line))
+        if tuple in set(map(type, entries)):
+            parts = chain(
+                self._line_parts(first),
+                chain.from_iterable(chain(["\n"], self._line_parts(line)) for line in lines),
+            )
+            shown, decoded = self._together(parts, entries)
+        else:
+            shown = " ".join(entries)
+        return shown.count(" ") + 2, f"{shown} {self.end}", decoded[1:]
 
 
 @kept
