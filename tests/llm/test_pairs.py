@@ -315,11 +315,33 @@ def test_shards(ready, docs):
 
 
 def test_shards_of_odd_rows(ready, odd, empty):
-    dims = {"size": F.octet_length("text").cast("long"), "source": hilbert_shards.text_rank("source")}
+    dims = {"size": F.octet_length("text").cast("long"), "source": F.col("source")}
     check_shards(hilbert_shards.hilbert_shards(odd, dimensions=dims).collect(), odd.count())
     assert hilbert_shards.hilbert_shards(empty, dimensions=dims).count() == 0
-    target = hilbert_shards.write_shards(odd.drop("shard", "slot"), new_scratch_path(ready, "s"), dimensions=dims)
-    assert ready.read.parquet(target).count() == odd.count()
+    clashing = odd.drop("shard", "slot").withColumns({"shard": F.lit("x"), "slot": F.lit(1)})
+    target = hilbert_shards.write_shards(clashing, new_scratch_path(ready, "s"), dimensions=dims)
+    written = ready.read.parquet(target)
+    assert written.count() == odd.count()
+    assert {*clashing.columns, "shard_", "slot_"} == {*written.columns}
+
+
+@pytest.mark.parametrize("bits", [1, 2, 3])
+def test_text_cuts_are_of_equal_depth(ready, bits):
+    texts = [f"common_crawl_{i}" for i in range(5) for _ in range(i + 1)] * 9 + ["zz", "", "a" * 99]
+    df = ready.createDataFrame([(t,) for t in [*texts, None]], "t string").repartition(7)
+    found = hilbert_shards.cut_points(df, [F.col("t")], bits)[0]
+    texts.sort()
+    cells = 1 << bits
+    want = {texts[-(-k * len(texts) // cells) - 1] for k in range(1, cells)}
+    assert found == sorted(want)
+    assert hilbert_shards.text_cuts(df.limit(0), F.col("t"), bits) == []
+
+
+def test_long_equal_beginnings_have_cells_of_their_own(ready):
+    df = ready.createDataFrame([(f"common_crawl_{i % 5}",) for i in range(500)], "t string")
+    cuts = hilbert_shards.cut_points(df, [F.col("t")])[0]
+    cells = df.select("t", hilbert_shards.cell(F.col("t"), cuts).alias("c")).distinct().collect()
+    assert len({r["c"] for r in cells}) == 5
 
 
 def test_shards_use_dataframe_functions_only(docs):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidemark.session import new_scratch_path
 
@@ -19,13 +20,6 @@ SHARDS = 8
 ROW_BITS = 33
 
 
-def text_rank(column: str) -> Column:
-    """The first seven bytes of a text as a number, in the order of the texts."""
-    return F.conv(F.rpad(F.hex(F.substring(F.encode(column, "UTF-8"), 1, 7)), 14, "0"), 16, 10).cast(
-        "bigint"
-    )
-
-
 def _let(value: Column, body) -> Column:
     """``body`` of a value that is computed once."""
     return F.transform(F.array(value), body)[0]
@@ -82,16 +76,53 @@ def hilbert_index(cells: list[Column], bits: int = BITS) -> Column:
     return _let(turned, lambda x: _let(gray(x), lambda g: _let(mask(g), lambda t: interleave(g, t))))
 
 
+def text_cuts(df: DataFrame, value: Column, bits: int = BITS) -> list[str]:
+    """Equal-depth cut points of a text over the whole table, in the order of whole texts.
+
+    Equal texts are counted before they move; the counts are stored in ranges of
+    texts, and added up by range, then within each. Only the cut points, less
+    than ``2 ** bits``, come to the driver.
+    """
+    counted = df.select(value.alias("value")).filter("value is not null").groupBy("value")
+    counted = counted.agg(F.count(F.lit(1)).alias("n")).repartitionByRange("value")
+    target = new_scratch_path(df.sparkSession, "texts")
+    counted.withColumn("part", F.spark_partition_id()).write.parquet(target)
+    held = df.sparkSession.read.parquet(target)
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("part").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    parts = held.groupBy("part").agg(F.sum("n").alias("held"))
+    parts = parts.select(
+        "part",
+        F.coalesce(F.sum("held").over(before), F.lit(0)).alias("base"),
+        F.sum("held").over(everything).alias("total"),
+    )
+    within = Window.partitionBy("part").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    upto = held.join(parts, "part").withColumn("upto", F.col("base") + F.sum("n").over(within))
+    cells = 1 << bits
+    crossed = F.expr(f"least({cells - 1}, upto * {cells} div total) > (upto - n) * {cells} div total")
+    return sorted(r["value"] for r in upto.filter(crossed).select("value").collect())
+
+
 def cut_points(df: DataFrame, values: list[Column], bits: int = BITS) -> list[list]:
-    """Equal-depth cut points of each value over the whole table, in one pass.
+    """Equal-depth cut points of each value over the whole table; of all numbers in one pass.
 
     Their number is fixed by ``bits``; they alone come to the driver.
     """
     shares = [k / (1 << bits) for k in range(1, 1 << bits)]
-    row = df.agg(
-        *[F.percentile_approx(v, shares, 1 << (bits + 6)).alias(f"d{i}") for i, v in enumerate(values)]
-    ).first()
-    return [sorted(cuts or []) for cuts in row]
+    types = [f.dataType for f in df.select(*values).schema]
+    texts = [isinstance(t, StringType) for t in types]
+    numbers = [
+        F.percentile_approx(v, shares, 1 << (bits + 6)).alias(f"d{i}")
+        for i, v in enumerate(values)
+        if not texts[i]
+    ]
+    row = df.agg(*numbers).first().asDict() if numbers else {}
+    return [
+        text_cuts(df, v, bits) if texts[i] else sorted(row[f"d{i}"] or [])
+        for i, v in enumerate(values)
+    ]
 
 
 def cell(value: Column, cuts: list) -> Column:
@@ -165,10 +196,22 @@ def hilbert_shards(
 
 
 def write_shards(df: DataFrame, target: str, *, dimensions: dict[str, Column], **options) -> str:
-    """Write all columns of ``df`` into ``target``, a folder for each shard, sorted by slot."""
+    """Write all columns of ``df`` into ``target``, a folder for each shard, sorted by slot.
+
+    The columns added are called ``shard`` and ``slot``, with an underscore more
+    for each that ``df`` already has of these names. Repeated rows are all
+    written, null ids come first; an empty table gives an empty folder.
+    """
+    taken = {c.lower() for c in df.columns}
+    names = []
+    for name in ("shard", "slot"):
+        while name in taken:
+            name += "_"
+        names.append(name)
     held = hilbert_shards(
         df, dimensions=dimensions, carry=(F.struct("*").alias("tm_row"),), **options
     )
-    placed = held.select("shard", "slot", "tm_row.*").repartitionByRange("shard", "slot")
-    placed.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(target)
+    added = [F.col(c).alias(n) for c, n in zip(("shard", "slot"), names)]
+    placed = held.select(*added, "tm_row.*").repartitionByRange(*names)
+    placed.sortWithinPartitions(*names).write.partitionBy(names[0]).parquet(target)
     return target

@@ -94,8 +94,8 @@ def op9_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in 8 shards of equal count along a curve through four columns."""
     text = F.coalesce("text", F.lit(""))
     dimensions = {
-        "source": hilbert_shards.text_rank("source"),
-        "lang": hilbert_shards.text_rank("lang"),
+        "source": F.col("source"),
+        "lang": F.col("lang"),
         "size": F.octet_length("text").cast("bigint"),
         "doc_id": F.col("doc_id"),
     }
