@@ -10,7 +10,9 @@ Jaccard similarity of the words. A line is removed if any earlier line matches.
 Copies with small edits form groups in which all match all. Each class is
 therefore first compared with the earliest that shares one of a few keys, pairs
 of tokens next to each other in the prefix, chosen by their hash so that copies
-choose alike; only classes this leaves are joined with all others.
+choose alike. What this leaves of a shared key is compared with the nearest of a
+few classes drawn for the key. Only classes these two leave are joined with all
+others.
 """
 
 from __future__ import annotations
@@ -40,7 +42,8 @@ PERCENT = 80
 COUNT_BITS = 17  # token counts are kept by this many bits of the hash
 RANK_BITS = 12
 FIRST_ROUND = 3  # keys of a line in the first comparison
-LONG = 80  # tokens from which on a parity map has 192 bits instead of 64
+LONG = 48  # tokens from which on a parity map has 192 bits instead of 64
+DRAWS = 2  # hashes by which the least and the greatest of a key are drawn
 MAPS = [f"m{i}" for i in range(3)]
 MARKED_ROWS = 1_000_000  # of marks that are handed to all tasks; more are joined by a shuffle
 NO_ID = -(1 << 63)  # stands for a null id, before all others
@@ -182,15 +185,20 @@ def _needed(percent: int) -> Column:
     return F.ceil(percent * total / (100 + percent))
 
 
-def _may_match(percent: int) -> Column:
-    """Length filter and bound from the parity maps: different tokens flip different bits."""
-    smaller, larger = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
+def _distance() -> Column:
+    """Bits in which the parity maps differ: the tokens that only one of the two has, or fewer."""
     both = [F.col(f"l_{m}").bitwiseXOR(F.col(f"r_{m}")) for m in MAPS]
     counted = [F.bit_count(b) for b in both]
     whole = both[0].bitwiseXOR(both[1]).bitwiseXOR(both[2])
-    apart = F.when(smaller >= LONG, sum(counted[1:], counted[0])).otherwise(F.bit_count(whole))
+    long = F.least("l_n", "r_n") >= LONG
+    return F.when(long, sum(counted[1:], counted[0])).otherwise(F.bit_count(whole))
+
+
+def _may_match(percent: int) -> Column:
+    """Length filter and bound from the parity maps: different tokens flip different bits."""
+    smaller, larger = F.least("l_n", "r_n"), F.greatest("l_n", "r_n")
     return (100 * smaller >= percent * larger) & (
-        apart <= F.col("l_n") + F.col("r_n") - 2 * _needed(percent)
+        _distance() <= F.col("l_n") + F.col("r_n") - 2 * _needed(percent)
     )
 
 
@@ -201,6 +209,21 @@ def _positions_fit(percent: int) -> Column:
     return before + after >= _needed(percent)
 
 
+def _in_index_prefix(percent: int) -> Column:
+    """Whether the shared token is early enough in the smaller set (each, if equal in size).
+
+    Two sets with ``c`` common tokens share one of the first ``n - c + 1`` of
+    each, and ``c`` is at least what two sets of the smaller's size need.
+    """
+
+    def early(side: str) -> Column:
+        n = F.col(f"{side}_n")
+        return F.col(f"{side}_at") <= n - F.ceil(2 * percent * n / (100 + percent))
+
+    l_n, r_n = F.col("l_n"), F.col("r_n")
+    return ((l_n > r_n) | early("l")) & ((r_n > l_n) | early("r"))
+
+
 EARLIER = "r_id < l_id or r_id = l_id and r_line < l_line"
 
 
@@ -208,6 +231,24 @@ def _named(df: DataFrame, side: str, *columns: str) -> DataFrame:
     return df.select("token", *[F.col(c).alias(f"{side}_{c}") for c in columns])
 
 
+def _drawn(shared: DataFrame, done: DataFrame, own: tuple[str, ...], percent: int) -> DataFrame:
+    """For each class of a shared key that is not done, the nearest earlier one of those drawn."""
+    members = shared.select("token", *[F.col(f"l_{c}").alias(c) for c in own])
+    draws = []
+    for seed in range(DRAWS):
+        drawn = F.struct(F.xxhash64("id", "line", F.lit(seed)).alias("h"), *own)
+        draws += [F.min(drawn), F.max(drawn)]
+    some = members.groupBy("token").agg(F.array_distinct(F.array(*draws)).alias("some"))
+    some = some.select("token", F.explode("some").alias("f")).select("token", "f.*")
+    open_ = shared.drop(*[f"r_{c}" for c in own])
+    gone = done.select(F.col("id").alias("l_id"), F.col("line").alias("l_line"))
+    open_ = open_.join(small(gone, MARKED_ROWS), ["l_id", "l_line"], "left_anti")
+    met = open_.join(_named(some, "r", *own), "token")
+    met = met.filter(F.expr(EARLIER) & _may_match(percent))
+    nearest = F.min(F.struct(_distance().alias("apart"), "r_id", "r_line")).alias("r")
+    return met.groupBy("l_id", "l_line").agg(nearest).select("l_id", "l_line", "r.r_id", "r.r_line")
+
+
 def matching(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (l_id, l_line, r_id, r_line) whose lines are similar, by their words."""
     ends = pairs.select(F.col("l_id").alias("id"), F.col("l_line").alias("line")).union(
@@ -294,17 +335,20 @@ def removed_lines(
     )
     rare = postings(classes.filter("size(prefix) > 0"), keys)
     lowest = rare.groupBy("token").agg(F.min(F.struct(*own)).alias("f")).select("token", "f.*")
-    near = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
-    near = near.filter(F.expr(EARLIER) & _may_match(percent))
+    shared = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
+    shared = stored(shared.filter(EARLIER), "shared")
     places = ["l_id", "l_line", "r_id", "r_line"]
-    near = stored(near.select(*places).distinct(), "near")
-    done = stored(
-        matching(near, source, percent)
-        .select(F.col("l_id").alias("id"), F.col("l_line").alias("line"))
-        .distinct()
-        .withColumn("done", F.lit(1)),
-        "done",
-    )
+
+    def marked_late(pairs: DataFrame) -> DataFrame:
+        late = matching(pairs, source, percent)
+        return late.select(F.col("l_id").alias("id"), F.col("l_line").alias("line")).distinct()
+
+    near = stored(shared.filter(_may_match(percent)).select(*places).distinct(), "near")
+    done = stored(marked_late(near), "done")
+    drawn = stored(_drawn(shared, done, own, percent), "drawn")
+    done = done.union(marked_late(drawn.join(near, places, "left_anti")))
+    done = stored(done.withColumn("done", F.lit(1)), "done")
+    near = near.union(drawn)
     marks = small(done, MARKED_ROWS)
     marked = classes.filter("size(prefix) > 0").join(marks, ["id", "line"], "left")
     every = postings(marked, F.col("prefix"), "done")
@@ -313,7 +357,11 @@ def removed_lines(
     open_ = F.coalesce("l_done", F.lit(0)) * (2 + F.coalesce("r_done", F.lit(0))) < 1
     rest = _named(every, "l", *columns).join(_named(every, "r", *columns), "token")
     rest = rest.filter(
-        open_ & F.expr(EARLIER) & _may_match(percent) & _positions_fit(percent)
+        open_
+        & F.expr(EARLIER)
+        & _in_index_prefix(percent)
+        & _may_match(percent)
+        & _positions_fit(percent)
     )
     rest = rest.select(*places).distinct().join(near, places, "left_anti")
     found = matching(stored(rest, "rest"), source, percent)
