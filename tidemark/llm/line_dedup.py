@@ -224,6 +224,11 @@ def _in_index_prefix(percent: int) -> Column:
     return ((l_n > r_n) | early("l")) & ((r_n > l_n) | early("r"))
 
 
+def _starts_run() -> Column:
+    """Whether the tokens before differ; if not, the pair has met at those, by the same filters."""
+    return F.coalesce(F.col("l_before") != F.col("r_before"), F.lit(True))
+
+
 EARLIER = "r_id < l_id or r_id = l_id and r_line < l_line"
 
 
@@ -351,14 +356,16 @@ def removed_lines(
     near = near.union(drawn)
     marks = small(done, MARKED_ROWS)
     marked = classes.filter("size(prefix) > 0").join(marks, ["id", "line"], "left")
-    every = postings(marked, F.col("prefix"), "done")
-    columns = (*own, "at", "done")
+    every = postings(marked, F.col("prefix"), "done", "prefix")
+    every = every.withColumn("before", F.get("prefix", F.col("at") - 1))
+    columns = (*own, "at", "done", "before")
     # Both marks are in the condition, so both sides are one shuffle.
     open_ = F.coalesce("l_done", F.lit(0)) * (2 + F.coalesce("r_done", F.lit(0))) < 1
     rest = _named(every, "l", *columns).join(_named(every, "r", *columns), "token")
     rest = rest.filter(
         open_
         & F.expr(EARLIER)
+        & _starts_run()
         & _in_index_prefix(percent)
         & _may_match(percent)
         & _positions_fit(percent)
