@@ -34,7 +34,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import restricted, ship, small
+from tidemark.llm.common import hashed_joins, restricted, ship, small
 from tidemark.llm.components import stored
 from tidemark.llm.shingles import blocks, mix, word_hashes
 
@@ -341,7 +341,8 @@ def removed_lines(
     rare = postings(classes.filter("size(prefix) > 0"), keys)
     lowest = rare.groupBy("token").agg(F.min(F.struct(*own)).alias("f")).select("token", "f.*")
     shared = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
-    shared = stored(shared.filter(EARLIER), "shared")
+    with hashed_joins(df.sparkSession):
+        shared = stored(shared.filter(EARLIER), "shared")
     places = ["l_id", "l_line", "r_id", "r_line"]
 
     def marked_late(pairs: DataFrame) -> DataFrame:
@@ -371,7 +372,9 @@ def removed_lines(
         & _positions_fit(percent)
     )
     rest = rest.select(*places).distinct().join(near, places, "left_anti")
-    found = matching(stored(rest, "rest"), source, percent)
+    with hashed_joins(df.sparkSession):
+        rest = stored(rest, "rest")
+    found = matching(rest, source, percent)
     late = done.select("id", "line").union(
         found.select(F.col("l_id").alias("id"), F.col("l_line").alias("line"))
     )
