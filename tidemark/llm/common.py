@@ -7,7 +7,6 @@ import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager
 from functools import cache, lru_cache
 from pathlib import Path
 
@@ -147,25 +146,6 @@ def small(some: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(some) if some.limit(most + 1).count() <= most else some
 
 
-# Bytes, as shuffled, of the largest partition that a task may hold as a hash table.
-HASHED_BYTES = 96 * 1024**2
-
-
-@contextmanager
-def hashed_joins(spark: SparkSession) -> Iterator[None]:
-    """Joins that run inside are by hash tables if no partition of a side is over ``HASHED_BYTES``.
-
-    Adaptive execution looks at the sizes of what was shuffled; others are sorted as ever.
-    """
-    name = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(HASHED_BYTES))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def pieces(batch: pa.RecordBatch, column: int = 1) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``PIECE_BYTES`` in a text column, one row at least."""
     start, held = 0, 0
