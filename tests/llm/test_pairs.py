@@ -18,7 +18,8 @@ from tidemark.llm import (
     shingles,
     tensor_minhash,
 )
-from tidemark.llm.components import components
+from tidemark.llm import components as linked
+from tidemark.llm.components import components, stored
 from tidemark.session import new_scratch_path
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -420,6 +421,38 @@ def test_components(ready):
     assert components(ready.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("few", (0, 100))
+def test_few_edges_are_not_shuffled(ready, monkeypatch, few):
+    plans = []
+
+    def watched(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, name)
+
+    monkeypatch.setattr(linked, "stored", watched)
+    monkeypatch.setattr(linked, "FEW", few)
+    edges = [(i, i + 1) for i in range(1, 60)] + [(100, 50), (200, 201), (201, 200), (7, 7), (None, 1)]
+    found = components(ready.createDataFrame(edges, "u long, v long")).collect()
+    want = {**{i: 1 for i in [*range(1, 61), 100]}, 200: 200, 201: 200}
+    assert {r["id"]: r["component"] for r in found} == want and len(found) == len(want)
+    assert any("hashpartitioning" in p for p in plans) == (few == 0)
+
+
+def test_tables_without_other_components_are_left_alone(ready, monkeypatch):
+    names = []
+
+    def watched(df, name):
+        names.append(name)
+        return stored(df, name)
+
+    monkeypatch.setattr(tensor_minhash, "stored", watched)
+    text = " ".join(f"w{i}" for i in range(60))
+    frame = ready.createDataFrame([(1, text), (2, text + " a"), (3, "b " + text)], "doc_id long, text string")
+    found = tensor_minhash.near_duplicates(frame, shingle=3, percent=85).collect()
+    assert {r["component_id"] for r in found} == {1}
+    assert names.count("pairs") == names.count("links") == 1
+
+
 def thue_morse(size):
     """A word and its complement, whose sums of bytes times powers are equal modulo 2**64."""
     bits = [bin(i).count("1") % 2 for i in range(size)]

@@ -15,8 +15,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(target)
 
 
+FEW = 100_000  # edges up to which one task takes a table, whose rounds then need no shuffle
+
+
+def _pairs(edges: DataFrame, *pairs: tuple[str, str]) -> DataFrame:
+    """A row (u, v) for each of the pairs of columns of each row."""
+    both = [F.struct(F.col(a).alias("u"), F.col(b).alias("v")) for a, b in pairs]
+    return edges.select(F.explode(F.array(*both)).alias("e")).select("e.*")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = _pairs(edges, ("u", "v"), ("v", "u"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     return (
         both.join(least, "u")
@@ -29,8 +38,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    linked = down.join(least, "u").filter("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return linked.union(least.select("u", F.col("m").alias("v"))).distinct()
+    return _pairs(down.join(least, "u"), ("v", "m"), ("u", "m")).filter("u <> v").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -38,11 +46,18 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds: neighbours are linked to the smallest id
     known nearby until each id but the smallest has one edge, to it. Tables are
-    joined and combined before the shuffle; nothing of a component is gathered.
+    joined and combined before the shuffle; nothing of a component is gathered,
+    unless there are no more than ``FEW`` edges altogether.
     Loops (u = v), repeated edges and nulls are left out; without edges there
     are no rows.
     """
-    now = stored(edges.select("u", "v").filter("u <> v").distinct(), "edges")
+    edges = edges.select("u", "v").filter("u <> v")
+    few = edges.limit(FEW + 1).count() <= FEW
+
+    def near(df: DataFrame) -> DataFrame:
+        return df.coalesce(1) if few else df
+
+    now = stored(near(edges).distinct(), "edges")
     before = None
     while True:
         mark = now.agg(
@@ -52,6 +67,5 @@ def components(edges: DataFrame) -> DataFrame:
         if not mark["n"] or mark == before:
             break
         before = mark
-        now = stored(_small_star(_large_star(now)), "edges")
-    roots = now.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()
-    return now.select(F.col("u").alias("id"), F.col("v").alias("component")).union(roots)
+        now = stored(_small_star(_large_star(near(now))), "edges")
+    return _pairs(near(now), ("u", "v"), ("v", "v")).distinct().toDF("id", "component")

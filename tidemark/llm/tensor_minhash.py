@@ -33,13 +33,14 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from tidemark.llm.common import restricted, ship
+from tidemark.llm.common import restricted, ship, small
 from tidemark.llm.components import components, stored
 from tidemark.llm.shingles import blocks, mix, shingle_sets
 
 GROUPS = (2, 3)  # minhashes of a group of each collection; a key has their sum
 MAP_BITS = 512  # of the parity map of a set, in which each shingle flips a bit
 PARTS = [f"p{i}" for i in range(MAP_BITS // 64)]
+SETS_ROWS = 100_000  # of sizes and parity maps that are handed to all tasks; more are shuffled
 MISSED = 1e-4  # most that a pair at the threshold may be missed, all tables together
 
 
@@ -143,7 +144,8 @@ def signatures(
 def verified(pairs: DataFrame, texts: DataFrame, *, shingle: int, percent: int) -> DataFrame:
     """The pairs ``(u, v)`` whose full sets have ``100 * common >= percent * united``.
 
-    ``texts`` has the text (id, text) of each id of a pair; of several texts any may link it.
+    ``texts`` has the text (id, text) of each id of a pair; of several texts any may link it,
+    and each that does gives a row.
     """
     held = pairs.join(texts.select(F.col("id").alias("u"), F.col("text").alias("left")), "u").join(
         texts.select(F.col("id").alias("v"), F.col("text").alias("right")), "v"
@@ -175,7 +177,7 @@ def verified(pairs: DataFrame, texts: DataFrame, *, shingle: int, percent: int)
         for some in blocks(rows, lambda r: len(r[2]) + len(r[3])):
             yield block(some)
 
-    return held.mapInArrow(run, schema).filter("linked").select("u", "v").distinct()
+    return held.mapInArrow(run, schema).filter("linked").select("u", "v")
 
 
 def _possible(percent: int) -> Column:
@@ -230,15 +232,15 @@ def near_duplicates(
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     signed = stored(signatures(source, shingle=shingle, groups=groups, id_column="id"), "signed")
     linkable = signed.filter("n > 0 and id is not null")
-    classes = stored(linkable.groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-    heads = linkable.join(classes, "digest").filter("id = rep").dropDuplicates(["digest"])
-    heads = stored(heads.drop("digest", "rep"), "heads")
+    own = F.min_by(F.struct("n", "keys", *PARTS), "id").alias("own")
+    heads = linkable.groupBy("digest").agg(F.min("id").alias("id"), own)
+    heads = stored(heads.select("digest", "id", "own.*"), "heads")
     # One exchange by key feeds both the aggregate and the join.
     in_tables = heads.select("id", F.explode("keys").alias("key")).repartition("key")
     met = in_tables.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     met = met.filter("low < high").select("key", "low")
     shared = stored(in_tables.join(met, "key"), "shared")
-    sets = heads.select("id", "n", *PARTS)
+    sets = small(heads.select("id", "n", *PARTS), SETS_ROWS)
     possible = _possible(percent)
 
     def named(frame: DataFrame, side: str, *whole: str) -> DataFrame:
@@ -257,6 +259,8 @@ def near_duplicates(
     joined = stored(components(links), "components")
     apart = _apart(shared.select("key", "id"), joined)
     for exhaustive in (False, True):
+        if not apart.limit(1).count():
+            break
         members = apart.join(sets, "id")
         if exhaustive:  # one of a pair is not of the table's main component
             others = members.drop("main")
@@ -273,12 +277,13 @@ def near_duplicates(
         if more.limit(1).count():
             links = links.union(more)
             joined = stored(components(links), "components")
-            apart = _apart(apart.select("key", "id"), joined)
+            if not exhaustive:
+                apart = _apart(apart.select("key", "id"), joined)
         done = done.union(pairs)
     component = F.coalesce("component", "rep", "id")
     return (
         signed.select("id", "n", "digest")
-        .join(classes.select("digest", "rep"), "digest", "left")
+        .join(heads.select("digest", F.col("id").alias("rep")), "digest", "left")
         .withColumn("rep", F.when(F.col("n") > 0, F.col("rep")))
         .join(joined.withColumnRenamed("id", "rep"), "rep", "left")
         .select(
