@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,69 @@ def test_lines_with_small_edits(ready):
         assert left[own] == "\n".join(kept)
 
 
+def test_pairs_of_sorted_postings(monkeypatch):
+    """Whatever the sizes of blocks, all similar pairs meet, once for a run of tokens at most."""
+    random = np.random.default_rng(3)
+    for long in (1 << 40, 8):  # a map of one part, of three
+        monkeypatch.setattr(line_dedup, "LONG", long)
+        sets = []
+        for i in range(150):
+            size = int(random.integers(1, 30))
+            sets.append(set(random.choice(30, size, replace=False).tolist()))
+        rows = []
+        for i, tokens in enumerate(sets):
+            maps = [0, 0, 0]
+            for t in tokens:
+                maps[t % 3 if len(tokens) >= long else 0] ^= 1 << (t * 7 % 64)
+            order = sorted(tokens)
+            prefix = order[: int(line_dedup.prefix_size(np.array([len(order)]), 80)[0])]
+            for at, t in enumerate(prefix):
+                before = prefix[at - 1] if at else 0
+                done = int(i % 5 == 0)
+                rows.append((((t - 15) << 32) | len(order), i // 2, (i % 2) << 32 | 2 * at + done, before, *maps))
+        rows.sort()
+        rows = dict(zip(line_dedup.POSTING, map(np.array, zip(*rows))))
+        rows |= {m: rows[m].astype(np.uint64) for m in line_dedup.MAPS}
+        want = {
+            (i, j)
+            for i, a in enumerate(sets)
+            for j, b in enumerate(sets[:i])
+            if i % 5 and a != b and 5 * len(a & b) >= 4 * len(a | b)
+        }
+        for most in (1, 7, 1 << 20):
+            monkeypatch.setattr(line_dedup, "CHUNK_PAIRS", most)
+            met = []
+            for late, soon in line_dedup._pairs_of(rows, 0, 80):
+                both = [(2 * rows["id"][x] + (rows["spot"][x] >> 32)).tolist() for x in (late, soon)]
+                met += zip(*both)
+            assert want <= set(met) and all(i > j and i % 5 for i, j in met)
+            assert all(4 * max(map(len, p)) <= 5 * min(map(len, p)) for p in ((sets[i], sets[j]) for i, j in met))
+        assert len(want) > 5
+
+
+def test_tokens_of_lines_are_sorted_once(ready, monkeypatch):
+    plans = {}
+
+    def watched(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return stored(df, name)
+
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    base = [f"w{i}" for i in range(40)]
+    rows = []
+    for i in range(60):
+        line = list(base)
+        for j in range(i % 10):
+            line[(i * 11 + j * 3) % 40] = f"x{i}_{j}"
+        rows.append((i, " ".join(line[: 40 - i % 3])))
+    frame = ready.createDataFrame(rows, "doc_id long, text string")
+    for most in (20, 200_000):
+        monkeypatch.setattr(line_dedup, "CHUNK_ROWS", most)
+        found = {tuple(r) for r in line_dedup.removed_lines(frame).collect()}
+        assert found == removed_by_brute_force(rows)
+    assert "SortMergeJoin [token" not in plans["rest"] and "place" in plans["rest"]
+
+
 def test_lines_of_odd_rows(odd, empty):
     rows = line_dedup.line_counts(odd).collect()
     assert len(rows) == odd.count()

@@ -202,33 +202,6 @@ def _may_match(percent: int) -> Column:
     )
 
 
-def _positions_fit(percent: int) -> Column:
-    """Tokens before the shared one, it and those after it suffice."""
-    before = F.least("l_at", "r_at")
-    after = F.least(F.col("l_n") - F.col("l_at"), F.col("r_n") - F.col("r_at"))
-    return before + after >= _needed(percent)
-
-
-def _in_index_prefix(percent: int) -> Column:
-    """Whether the shared token is early enough in the smaller set (each, if equal in size).
-
-    Two sets with ``c`` common tokens share one of the first ``n - c + 1`` of
-    each, and ``c`` is at least what two sets of the smaller's size need.
-    """
-
-    def early(side: str) -> Column:
-        n = F.col(f"{side}_n")
-        return F.col(f"{side}_at") <= n - F.ceil(2 * percent * n / (100 + percent))
-
-    l_n, r_n = F.col("l_n"), F.col("r_n")
-    return ((l_n > r_n) | early("l")) & ((r_n > l_n) | early("r"))
-
-
-def _starts_run() -> Column:
-    """Whether the tokens before differ; if not, the pair has met at those, by the same filters."""
-    return F.coalesce(F.col("l_before") != F.col("r_before"), F.lit(True))
-
-
 EARLIER = "r_id < l_id or r_id = l_id and r_line < l_line"
 
 
@@ -254,6 +227,147 @@ def _drawn(shared: DataFrame, done: DataFrame, own: tuple[str, ...], percent: in
     return met.groupBy("l_id", "l_line").agg(nearest).select("l_id", "l_line", "r.r_id", "r.r_line")
 
 
+POSTING = ["place", "id", "spot", "before", *MAPS]
+CHUNK_ROWS = 200_000  # of postings read before their pairs are looked for
+CHUNK_PAIRS = 500_000  # that are held at a time
+
+
+def _postings(marked: DataFrame) -> DataFrame:
+    """A row for each token of each prefix, by token and size of the set.
+
+    ``place`` is the token and the size, ``spot`` the line, the token's place in
+    the prefix and whether the class is done, ``before`` the token before it.
+    """
+    every = marked.select("id", "line", "n", "done", "prefix", *MAPS, F.posexplode("prefix").alias("at", "token"))
+
+    def packed(high: str, low: Column) -> Column:
+        return F.shiftleft(F.col(high).cast("long"), 32).bitwiseOR(low.cast("long"))
+
+    every = every.select(
+        packed("token", F.col("n")).alias("place"),
+        "id",
+        packed("line", 2 * F.col("at") + F.coalesce("done", F.lit(0))).alias("spot"),
+        F.coalesce(F.get("prefix", F.col("at") - 1), F.lit(0)).alias("before"),
+        *MAPS,
+    )
+    token = F.shiftright("place", 32)
+    return every.repartition(token).sortWithinPartitions("place").select(*POSTING)
+
+
+def _common(total: np.ndarray, percent: int) -> np.ndarray:
+    """The common tokens that a pair of sets of ``total`` tokens needs."""
+    return -(-percent * total // (100 + percent))
+
+
+def _pairs_of(rows: dict[str, np.ndarray], old: int, percent: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Places (later, earlier) in the sorted ``rows`` of pairs that may match, one after ``old``.
+
+    Of each pair one token is enough, the rarest shared: it is early in the
+    smaller set (each, if equal in size), and it and those after it suffice in
+    both, as two sets with ``c`` common tokens share one of the first
+    ``n - c + 1`` of each. For a larger set that bounds the sizes of the smaller
+    ones as the length filter does. Where the tokens before are equal too, the
+    pair has met at those. Parity maps rule out most of the rest.
+    """
+    place, own, before = rows["place"], rows["id"], rows["before"]
+    n = place & 0xFFFFFFFF
+    line, at, done = rows["spot"] >> 32, (rows["spot"] & 0xFFFFFFFF) >> 1, (rows["spot"] & 1) > 0
+    early = at <= n - _common(2 * n, percent)
+    smaller = np.flatnonzero(early)
+    larger = np.arange(old, len(place))
+    token = place[larger] & ~0xFFFFFFFF
+    first = np.searchsorted(place, token | -(-percent * n[larger] // 100))
+    # At most so many tokens in both sets that what follows this one can be all they share.
+    most = np.maximum((n[larger] - at[larger]) * (100 + percent) // percent - n[larger], 0)
+    last = np.minimum(np.searchsorted(place, token | np.minimum(most, n[larger]), "right"), larger)
+    first = np.searchsorted(smaller, first)
+    count = np.maximum(np.searchsorted(smaller, last) - first, 0)
+    held = count > 0
+    larger, first, count = larger[held], first[held], count[held]
+    ends = np.cumsum(count)
+    start = 0
+    while start < (ends[-1] if len(ends) else 0):
+        # Pairs are numbered through, so a row of many may be cut anywhere.
+        stop = min(start + CHUNK_PAIRS, int(ends[-1]))
+        of = np.arange(np.searchsorted(ends, start, "right"), np.searchsorted(ends, stop, "left") + 1)
+        low = np.maximum(ends[of] - count[of], start)
+        size = np.minimum(ends[of], stop) - low
+        b = np.repeat(larger[of], size)
+        within = np.repeat(low - ends[of] + count[of] + first[of], size)
+        within += np.arange(len(b)) - np.repeat(np.cumsum(size) - size, size)
+        a = smaller[within]
+        start = stop
+        met = (before[a] != before[b]) | (at[a] == 0) | (at[b] == 0)
+        met &= ~(done[a] & done[b]) & (early[b] | (n[a] != n[b]))
+        a, b = a[met], b[met]
+        after = (own[b] > own[a]) | (own[b] == own[a]) & (line[b] > line[a])
+        late, soon = np.where(after, b, a), np.where(after, a, b)
+        fits = ~done[late] & ((own[a] != own[b]) | (line[a] != line[b]))
+        late, soon = late[fits], soon[fits]
+        needed = _common(n[late] + n[soon], percent)
+        apart = [rows[m][late] ^ rows[m][soon] for m in MAPS]
+        counted = [np.bitwise_count(x).astype(np.int64) for x in apart]
+        long = np.minimum(n[late], n[soon]) >= LONG
+        whole = np.bitwise_count(apart[0] ^ apart[1] ^ apart[2])
+        differ = np.where(long, sum(counted), whole)
+        fits = differ <= n[late] + n[soon] - 2 * needed
+        late, soon, needed = late[fits], soon[fits], needed[fits]
+        fits = np.minimum(n[late] - at[late], n[soon] - at[soon]) >= needed
+        yield late[fits], soon[fits]
+
+
+def _candidates(postings: DataFrame, percent: int) -> DataFrame:
+    """Pairs (l_id, l_line, r_id, r_line) of sorted postings that may match, r before l, l not done.
+
+    Rows are read in order of token and size, so a set meets the smaller ones of
+    its token just before it. Of what was read only those are held that the next
+    may match.
+    """
+    schema = StructType(
+        [
+            StructField("l_id", LongType()),
+            StructField("l_line", IntegerType()),
+            StructField("r_id", LongType()),
+            StructField("r_line", IntegerType()),
+        ]
+    )
+    arrow = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] = {}
+
+        def block(some: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            table = pa.Table.from_batches(some)
+            rows = {c: table[c].to_numpy() for c in POSTING}
+            # Parity maps are bits, of which numpy counts those of unsigned numbers.
+            rows |= {m: rows[m].view(np.uint64) for m in MAPS}
+            old = len(held["place"]) if held else 0
+            if old:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in POSTING}
+            for late, soon in _pairs_of(rows, old, percent):
+                line = (rows["spot"] >> 32).astype(np.int32)
+                columns = [rows["id"][late], line[late], rows["id"][soon], line[soon]]
+                if len(late):
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=arrow)
+            last = int(rows["place"][-1])
+            least = (last & ~0xFFFFFFFF) | -(-percent * (last & 0xFFFFFFFF) // 100)
+            kept = np.searchsorted(rows["place"], least)
+            held = {c: rows[c][kept:].copy() for c in POSTING}
+
+        some, size = [], 0
+        for batch in batches:
+            some.append(batch)
+            size += batch.num_rows
+            if size >= CHUNK_ROWS:
+                yield from block(some)
+                some, size = [], 0
+        if size:
+            yield from block(some)
+
+    return postings.mapInArrow(run, schema).distinct()
+
+
 def matching(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     """Those of the pairs (l_id, l_line, r_id, r_line) whose lines are similar, by their words."""
     ends = pairs.select(F.col("l_id").alias("id"), F.col("l_line").alias("line")).union(
@@ -327,10 +441,6 @@ def removed_lines(
 
     own = ("id", "line", "n", *MAPS)
 
-    def postings(frame: DataFrame, tokens: Column, *more: str) -> DataFrame:
-        exploded = frame.select(*own, *more, F.posexplode(tokens))
-        return exploded.withColumnsRenamed({"pos": "at", "col": "token"})
-
     def key(i: Column) -> Column:
         return F.xxhash64(F.element_at("prefix", i), F.element_at("prefix", i + 1))
 
@@ -338,7 +448,7 @@ def removed_lines(
     keys = F.when(F.size("prefix") > 1, F.slice(F.array_sort(keys), 1, FIRST_ROUND)).otherwise(
         F.transform("prefix", lambda token: F.xxhash64(token))
     )
-    rare = postings(classes.filter("size(prefix) > 0"), keys)
+    rare = classes.filter("size(prefix) > 0").select(*own, F.explode(keys).alias("token"))
     lowest = rare.groupBy("token").agg(F.min(F.struct(*own)).alias("f")).select("token", "f.*")
     shared = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
     shared = stored(shared.filter(EARLIER), "shared")
@@ -356,21 +466,7 @@ def removed_lines(
     near = near.union(drawn)
     marks = small(done, MARKED_ROWS)
     marked = classes.filter("size(prefix) > 0").join(marks, ["id", "line"], "left")
-    every = postings(marked, F.col("prefix"), "done", "prefix")
-    every = every.withColumn("before", F.get("prefix", F.col("at") - 1))
-    columns = (*own, "at", "done", "before")
-    # Both marks are in the condition, so both sides are one shuffle.
-    open_ = F.coalesce("l_done", F.lit(0)) * (2 + F.coalesce("r_done", F.lit(0))) < 1
-    rest = _named(every, "l", *columns).join(_named(every, "r", *columns), "token")
-    rest = rest.filter(
-        open_
-        & F.expr(EARLIER)
-        & _starts_run()
-        & _in_index_prefix(percent)
-        & _may_match(percent)
-        & _positions_fit(percent)
-    )
-    rest = rest.select(*places).distinct().join(near, places, "left_anti")
+    rest = _candidates(_postings(marked), percent).join(near, places, "left_anti")
     found = matching(stored(rest, "rest"), source, percent)
     late = done.select("id", "line").union(
         found.select(F.col("l_id").alias("id"), F.col("l_line").alias("line"))

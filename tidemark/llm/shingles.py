@@ -32,6 +32,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 # Bytes that separate words: white space of ASCII.
 SPACES = np.zeros(256, bool)
 SPACES[[9, 10, 11, 12, 13, 32]] = True
+INSIDE = (~SPACES).tobytes()  # as a table to translate by
 
 
 def blocks(rows: Iterable, size) -> Iterator[list]:
@@ -52,15 +53,19 @@ def _lane_sums(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.nd
     """For each word the sum of its mixed lanes."""
     padded = np.concatenate([data, np.zeros(LANE, np.uint8)])
     lanes = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
-    if not len(sizes) or sizes.max() <= LANE:
-        return mix((lanes[starts] & MASKS[sizes]) + np.uint64(_ODD))
-    count = -(-sizes // LANE)
+    sums = mix((lanes[starts] & MASKS[np.minimum(sizes, LANE)]) + np.uint64(_ODD))
+    longer = np.flatnonzero(sizes > LANE)
+    if not len(longer):
+        return sums
+    starts, left = starts[longer] + LANE, sizes[longer] - LANE
+    count = -(-left // LANE)
     first = np.cumsum(count) - count
     place = np.arange(count.sum()) - np.repeat(first, count)
-    left = np.minimum(np.repeat(sizes, count) - LANE * place, LANE)
+    left = np.minimum(np.repeat(left, count) - LANE * place, LANE)
     held = lanes[np.repeat(starts, count) + LANE * place] & MASKS[left]
-    mixed = mix(held + (place + 1).astype(np.uint64) * np.uint64(_ODD))
-    return np.add.reduceat(mixed, first)
+    mixed = mix(held + (place + 2).astype(np.uint64) * np.uint64(_ODD))
+    sums[longer] += np.add.reduceat(mixed, first)
+    return sums
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -68,14 +73,16 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
     First bytes count in the texts joined by one byte.
     """
-    data = np.frombuffer(b"\n".join(texts).lower(), np.uint8)
+    joined = b"\n".join(texts).lower()
+    data = np.frombuffer(joined, np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    starts_of_texts = np.cumsum(sizes + 1) - sizes - 1
-    inside = np.concatenate([[False], ~SPACES[data], [False]])
+    ends_of_texts = np.cumsum(sizes + 1)
+    inside = np.frombuffer(b"\0" + joined.translate(INSIDE) + b"\0", bool)
     turns = np.flatnonzero(inside[1:] != inside[:-1])
-    starts, ends = turns[::2], turns[1::2]
+    starts, ends = turns.reshape(-1, 2).T.copy()
     hashes = mix(_lane_sums(data, starts, ends - starts) ^ (ends - starts).astype(np.uint64))
-    return hashes, starts, np.searchsorted(starts_of_texts, starts, "right") - 1
+    counts = np.diff(np.searchsorted(starts, ends_of_texts), prepend=0)
+    return hashes, starts, np.repeat(np.arange(len(texts)), counts)
 
 
 def shingle_sets(texts: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
