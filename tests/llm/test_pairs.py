@@ -134,6 +134,7 @@ def test_tokens_of_lines_are_sorted_once(ready, monkeypatch):
         found = {tuple(r) for r in line_dedup.removed_lines(frame).collect()}
         assert found == removed_by_brute_force(rows)
     assert "SortMergeJoin [token" not in plans["rest"] and "place" in plans["rest"]
+    assert "REPARTITION_BY_COL" in plans["shared"] and "ENSURE_REQUIREMENTS" not in plans["shared"]
 
 
 def test_lines_of_odd_rows(odd, empty):

@@ -448,7 +448,9 @@ def removed_lines(
     keys = F.when(F.size("prefix") > 1, F.slice(F.array_sort(keys), 1, FIRST_ROUND)).otherwise(
         F.transform("prefix", lambda token: F.xxhash64(token))
     )
+    # One exchange by key feeds both the aggregate and the join.
     rare = classes.filter("size(prefix) > 0").select(*own, F.explode(keys).alias("token"))
+    rare = rare.repartition("token")
     lowest = rare.groupBy("token").agg(F.min(F.struct(*own)).alias("f")).select("token", "f.*")
     shared = _named(rare, "l", *own).join(_named(lowest, "r", *own), "token")
     shared = stored(shared.filter(EARLIER), "shared")
